@@ -11,10 +11,10 @@ HOME_REGION = ["TW", "HK", "SG", "JP"]
 TRAVEL_COUNTRIES = ["TW", "HK", "SG"]
 PROBABILITY_TIERS = [("HIGH", 0.7), ("MEDIUM", 0.4), ("LOW", 0.15), ("SAFE", 0.0)]
 TIER_ADVICE = {
-    "HIGH": "Block immediately and alert user",
-    "MEDIUM": "Warn user and monitor",
-    "LOW": "Flag for review",
-    "SAFE": "No action needed",
+    "HIGH": "🔴 Immediate block recommended. Add to Redis blacklist.",
+    "MEDIUM": "🟡 Flag for human review. Monitor call patterns.",
+    "LOW": "🟠 Display warning label to user.",
+    "SAFE": "🟢 No action needed.",
 }
 
 

@@ -22,6 +22,7 @@ def local_session(cores: str = "8", name: str = "callsieve") -> SparkSession:
         builder = builder.config(key, value)
     return (
         builder.config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("CALLSIEVE_DRIVER_MEMORY", "8g"))
         .config("spark.sql.shuffle.partitions", cores if cores.isdigit() else "8")
         .config("spark.python.unix.domain.socket.enabled", "true")
