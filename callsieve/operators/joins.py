@@ -1,0 +1,18 @@
+"""Join helpers with a size check."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def broadcast_if_small(df: DataFrame, most_rows: int = 10_000) -> DataFrame:
+    """Broadcast ``df`` when it has at most ``most_rows`` rows; else leave the join strategy to Spark.
+
+    The rows are read once for the check and, when few enough, joined from there, so the side is not
+    computed twice.
+    """
+    rows = df.limit(most_rows + 1).collect()
+    if len(rows) > most_rows:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .joins import broadcast_if_small
 from .prefix import hash_numbered, hash_order
 
 
@@ -25,7 +26,7 @@ def shuffled(df: DataFrame, id_col: str, seed: int, digits: int = 3) -> DataFram
 def stratified(df: DataFrame, label: str, id_col: str, seed: int, digits: int = 3) -> DataFrame:
     """Add the row's hash position within its label and the label's size."""
     sizes = df.groupBy(label).agg(F.count("*").alias("label_rows"))
-    return hash_numbered(df, [label], id_col, seed, "label_position", digits).join(sizes, label)
+    return hash_numbered(df, [label], id_col, seed, "label_position", digits).join(broadcast_if_small(sizes), label)
 
 
 def split_name(shares: list[tuple[str, float]]) -> Column:
