@@ -36,7 +36,7 @@ select event_id as ticket_id,
     as call_type,
   case when k % 5 = 0 then 'Internet (VOIP)' when k % 5 = 1 then 'Wireless (cell phone/other mobile device)'
        when k % 5 = 2 then 'Wired' when k % 5 = 3 then 'VOIP Robocall' end as method,
-  'S' || cast(event_id % 50 as varchar) as state,
+  'S' || cast(event_id % 50 as varchar) as state, lpad(cast(event_id * 37 % 100000 as varchar), 5, '0') as zip,
   case when k % 3 = 0 then null when k % 3 = 1 then '800-555-0001' else '900-555-0000' end as advertiser
 from ev""",
     "known_good_complaints": """

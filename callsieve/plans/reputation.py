@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import scoring
 from ..operators import burst, skew
 from ..operators import reputation as ops
+from ..session import cut_lineage
 from ..sources import views
 from .complaints import FEATURES_SQL, features
 from .evaluation import rounded
@@ -263,7 +264,7 @@ def model_driven_reports(spark, sf):
         F.element_at(F.array(*[F.lit(c) for c in CATEGORIES]), F.col("i") % len(CATEGORIES) + 1).alias("scam_category"),
         (last.select("t").scalar() + 1 + F.col("i")).alias("t"), F.lit("TW").alias("report_country"),
         F.lit("TW").alias("registered_country"))
-    return rounded(ops.report_decisions(reports, views.validations(spark, sf), views.reporters(spark, sf)))
+    return rounded(ops.report_decisions(cut_lineage(reports), views.validations(spark, sf), views.reporters(spark, sf)))
 
 
 STREAM = "select 'num-' || cast(user_id as varchar) as phone_number, round(max(score), 9) as probability from scores group by 1"

@@ -55,7 +55,7 @@ def complaints(spark: SparkSession, sf_dir: str) -> DataFrame:
         " when k % 4 = 2 then 'Live Voice' end as call_type",
         "case when k % 5 = 0 then 'Internet (VOIP)' when k % 5 = 1 then 'Wireless (cell phone/other mobile device)'"
         " when k % 5 = 2 then 'Wired' when k % 5 = 3 then 'VOIP Robocall' end as method",
-        "concat('S', event_id % 50) as state",
+        "concat('S', event_id % 50) as state", "lpad(cast(event_id * 37 % 100000 as string), 5, '0') as zip",
         "case when k % 3 = 0 then null when k % 3 = 1 then '800-555-0001' else '900-555-0000' end as advertiser")
 
 
