@@ -43,10 +43,14 @@ def points_in_cells(df: DataFrame, id_col: str, columns: list[str], eps: float)
     return rows.withColumn("cell", F.concat_ws(",", *[F.col(f"c{i}") for i in range(len(columns))]))
 
 
-def adjacent_cells(cells: DataFrame, dims: int, eps: float) -> DataFrame:
-    """Pairs of different occupied cells that may hold points within ``eps``, found through a coarse grid."""
-    side, used = eps / math.sqrt(dims), min(dims, COARSE_DIMS)
-    coarse = [F.floor(F.col(f"c{i}") * side / eps) for i in range(used)]
+def adjacent_cells(cells: DataFrame, dims: int) -> DataFrame:
+    """Pairs of different occupied cells that may hold points within eps, found through a coarse grid.
+
+    Corners of such cells differ by at most eps plus one cell side, so coarse cells of 2 eps and
+    their direct neighbours cover them.
+    """
+    used = min(dims, COARSE_DIMS)
+    coarse = [F.floor(F.col(f"c{i}") / (2 * math.sqrt(dims))) for i in range(used)]
     near = cells.select("cell", *[f"c{i}" for i in range(dims)], *[
         F.explode(F.sequence(coarse[0] - 1, coarse[0] + 1)).alias("g0")])
     for i in range(1, used):
@@ -63,7 +67,7 @@ def core_points(points: DataFrame, dims: int, eps: float, min_points: int) -> Da
     cells = points.groupBy("cell", *[f"c{i}" for i in range(dims)]).agg(F.count("*").alias("n"))
     sizes = points.join(cells.select("cell", "n"), "cell")
     thin = cells.filter(F.col("n") < min_points)
-    pairs = adjacent_cells(cells, dims, eps).join(thin.select("cell"), "cell", "left_semi")
+    pairs = adjacent_cells(cells, dims).join(thin.select("cell"), "cell", "left_semi")
     # Points of adjacent cells travel to the thin cell, where fewer than min_points rows wait for each.
     around = points.select(F.col("cell").alias("other"), *[f"x{i}" for i in range(dims)]).join(pairs, "other")
     waiting = sizes.filter(F.col("n") < min_points)
@@ -137,7 +141,7 @@ def dbscan(df: DataFrame, id_col: str, columns: list[str], eps: float = 0.6, min
     points = cut_lineage(core_points(points_in_cells(df, id_col, columns, eps), dims, eps, min_points))
     core = points.filter("is_core")
     cells = points.select("cell", *[f"c{i}" for i in range(dims)]).distinct()
-    pairs = cut_lineage(adjacent_cells(cells, dims, eps))
+    pairs = cut_lineage(adjacent_cells(cells, dims))
     nodes = core.select(F.col("cell").alias("node")).distinct()
     edges = linked_cells(core, pairs, dims, eps).select(F.col("cell").alias("a"), F.col("other").alias("b"))
     labels = components(nodes, edges).withColumnRenamed("node", "cell")
