@@ -57,7 +57,7 @@ def cv_f1(spark, sf):
 
 @query("grid_search")
 def grid_search(spark, sf):
-    return rounded(ml.grid_search(training(spark, sf), FEATURES, [1e-1, 1e-3], [None, 0.1]))
+    return rounded(ml.grid_search(training(spark, sf), FEATURES, [1e-1, 1e-3], [None, 0.1], k=2, size=16, iterations=10))
 
 
 @query("feature_importance_top10")
