@@ -7,6 +7,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .prefix import hash_numbered
 from .quantiles import exact_quantiles
 
@@ -25,6 +26,8 @@ def training_set(
     features: DataFrame, known_good: DataFrame, negative_ratio: float = 1.0, hard_ratio: float = 0.03, seed: int = 42
 ) -> DataFrame:
     """Numbers with two or more complaints against a mix of single-complaint and known-good numbers."""
+    # Counting and drawing read the tables several times; write them once.
+    features, known_good = cut_lineage(features), cut_lineage(known_good)
     often = F.col("complaint_count_log") > math.log1p(1.5)
     positive = features.filter(often)
     negatives = int(positive.count() * negative_ratio)

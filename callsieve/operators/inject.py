@@ -68,14 +68,13 @@ def cell_hash(id_col: str, column: Column, seed: int) -> Column:
 def chosen_cells(df: DataFrame, id_col: str, rates: dict[str, float], seed: int, digits: int = 3) -> DataFrame:
     """Exactly floor(non-null cells x rate) cells per column, picked by hash: (id, column, hash)."""
     cells = df.select(id_col, F.explode(F.array(*[
-        F.when(F.col(c).isNotNull(), F.struct(F.lit(c).alias("column"), F.lit(r).alias("rate"))) for c, r in rates.items()
-    ])).alias("cell")).filter("cell is not null").select(id_col, "cell.*")
+        F.when(F.col(c).isNotNull(), F.lit(c)) for c in rates])).alias("column")).filter("column is not null")
     hashed = cells.withColumn("hash", cell_hash(id_col, F.col("column"), seed))
     ranked = numbered(hashed, ["column"], [F.col("hash"), F.col(id_col)], F.substring("hash", 1, digits), "rank")
-    wanted = {r["column"]: math.floor(r["n"] * rates[r["column"]]) for r in cells.groupBy("column").agg(F.count("*").alias("n")).collect()}
+    filled = df.agg(*[F.count(c).alias(c) for c in rates]).first()
     limit = F.lit(0)
-    for column, n in wanted.items():
-        limit = F.when(F.col("column") == column, F.lit(n)).otherwise(limit)
+    for column, r in rates.items():
+        limit = F.when(F.col("column") == column, F.lit(math.floor(filled[column] * r))).otherwise(limit)
     return ranked.filter(F.col("rank") <= limit).select(id_col, "column", "hash")
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scoring
+from ..session import cut_lineage
 from .burst import burst_throttle
 from .prefix import numbered, running
 
@@ -149,14 +150,15 @@ def report_decisions(reports: DataFrame, validations: DataFrame, reporters: Data
 
     Rejected reports come back with status ``error`` or ``throttled`` and empty figures.
     """
-    checked = burst_throttle(known_reports(reports, reporters))
+    checked = cut_lineage(burst_throttle(known_reports(reports, reporters)))
     accepted = checked.filter("accepted").drop("accepted", "session")
     odd = ~scoring.geo_consistent(F.col("registered_country"), F.col("report_country"))
     flagged = running(accepted, ["user_id"], [F.col("t"), F.col("report_seq")], time_chunk(), maxes={"geo_flag": odd})
     weighed = reputation_as_of(flagged, validations)
     score = scoring.reputation(F.col("alpha"), F.col("beta"), F.col("total_reports"), F.col("burst_count"), F.col("geo_flag"))
-    weighed = weighed.withColumn("reputation", score).withColumn(
-        "user_weight", scoring.report_weight(F.round("reputation", 9)))
+    # Each running pass reads its input twice, so stacked passes start from a written table.
+    weighed = cut_lineage(weighed.withColumn("reputation", score).withColumn(
+        "user_weight", scoring.report_weight(F.round("reputation", 9))))
     order = ["t", "report_seq"]
     judged = running_dominant_category(running_consensus(weighed, order, time_chunk()), order, time_chunk())
     done = judged.select(
