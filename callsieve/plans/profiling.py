@@ -69,12 +69,19 @@ def profile_categorical(spark, sf):
     return ops.categorical(views.fraud(spark, sf), ["Age_Group", "Education", "Cluster_ID", "Phone_Number"])
 
 
-@query("profile_types")
+@query("profile_types", each([f"""
+select count(*) as rows, '{c}' as "column", '{t}' as type, '{k}' as kind from events""" for c, t, k in (
+    ("event_id", "bigint", "numeric"), ("ts", "timestamp", "other"), ("user_id", "bigint", "numeric"),
+    ("event_type", "string", "categorical"), ("value", "double", "numeric"), ("k", "bigint", "numeric"))]))
 def profile_types(spark, sf):
     return ops.column_types(views.events(spark, sf))
 
 
-@query("profile_checklist")
+@query("profile_checklist", over("scores", """
+select 'missing below 20%' as "check", count(*) filter (score is null) / count(*) < 0.2 and count(*) filter (label is null)
+  / count(*) < 0.2 as passed from scores
+union all select unnest(['outliers identified', 'categorical columns reviewed', 'numeric columns reviewed',
+  'target distribution known']), true"""))
 def profile_checklist(spark, sf):
     return ops.checklist(views.scores(spark, sf), "label")
 
