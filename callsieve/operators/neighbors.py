@@ -3,7 +3,8 @@
 Points go to the nearest of a fixed number of pivots. The farthest a neighbour can be follows from the
 pivots' counts and radii, so a point is only compared with the cells it could matter to (triangle
 inequality). A crowded cell is cut into blocks; every pair of blocks keeps its k best candidates per point
-and the blocks' lists are merged, so no task sees a whole cell.
+and the blocks' lists are merged, so no task sees a whole cell. Of equal vectors only k + 1 take part in the
+search; the other copies have those as neighbours at distance 0.
 """
 
 from __future__ import annotations
@@ -34,13 +35,28 @@ def reach_per_cell(gaps: np.ndarray, counts: np.ndarray, radii: np.ndarray, k: i
     return reach
 
 
-def nearest(df: DataFrame, id_col: str, vector: str, k: int = 5, pivots: int = 64, block_rows: int = 2000) -> DataFrame:
-    """The ``k`` nearest other points of every point: id, neighbour, distance, rank from 1."""
-    points = cut_lineage(df.select(F.col(id_col).alias("id"), F.col(vector).cast("array<double>").alias("v")))
+def nearest(df: DataFrame, id_col: str, vector: str, k: int = 5, pivots: int | None = None, block_rows: int = 2000) -> DataFrame:
+    """The ``k`` nearest other points of every point: id, neighbour, distance, rank from 1.
+
+    By default there are about as many pivots as the square root of the points, at most 4096.
+    """
+    rows = df.select(F.col(id_col).alias("id"), F.col(vector).cast("array<double>").alias("v"))
+    marked = rows.withColumn("copy", F.md5(F.col("v").cast("string")))
+    ranked = cut_lineage(hash_numbered(marked, ["copy"], "id", 7, "n"))
+    searched = ranked.filter(F.col("n") <= k + 1)
+    found = search(searched.select("id", "v"), k, pivots, block_rows)
+    beside = searched.filter(F.col("n") <= k).select("copy", F.col("id").alias("neighbor"), F.col("n").cast("int").alias("rank"))
+    spare = ranked.filter(F.col("n") > k + 1).select("id", "copy").join(beside, "copy").select(
+        "id", "neighbor", F.lit(0.0).alias("distance"), "rank")
+    return found.unionByName(spare).withColumnRenamed("id", id_col)
+
+
+def search(points: DataFrame, k: int, pivots: int | None, block_rows: int) -> DataFrame:
+    """Nearest neighbours of a table (id, v) without large groups of equal vectors."""
+    pivots = pivots or min(4096, max(16, int(points.count() ** 0.5)))
     centers = np.array([r["v"] for r in sample_n(points, "id", pivots, seed=7).select("v").collect()])
     if not len(centers):
-        return points.limit(0).select(F.col("id").alias(id_col), F.col("id").alias("neighbor"),
-                                      F.lit(0.0).alias("distance"), F.lit(0).alias("rank"))
+        return points.limit(0).select("id", F.col("id").alias("neighbor"), F.lit(0.0).alias("distance"), F.lit(0).alias("rank"))
 
     def assign(batches):
         for pdf in batches:
@@ -89,11 +105,12 @@ def nearest(df: DataFrame, id_col: str, vector: str, k: int = 5, pivots: int = 6
     lists = asks.unionByName(answers).groupBy("cell", "qb", "cb").applyInPandas(
         best, f"id {id_type}, neighbor {id_type}, distance double")
     merged = lists.groupBy("id").agg(F.slice(F.array_sort(F.collect_list(F.struct("distance", "neighbor"))), 1, k).alias("l"))
-    return merged.select(F.col("id").alias(id_col), F.posexplode("l").alias("rank", "n")).select(
-        id_col, F.col("n.neighbor").alias("neighbor"), F.col("n.distance").alias("distance"), (F.col("rank") + 1).alias("rank"))
+    return merged.select("id", F.posexplode("l").alias("rank", "n")).select(
+        "id", F.col("n.neighbor").alias("neighbor"), F.col("n.distance").alias("distance"), (F.col("rank") + 1).alias("rank"))
 
 
-def smote(df: DataFrame, id_col: str, vector: str, label: str, k: int = 5, seed: int = 42, pivots: int = 64) -> DataFrame:
+def smote(df: DataFrame, id_col: str, vector: str, label: str, k: int = 5, seed: int = 42,
+          pivots: int | None = None) -> DataFrame:
     """Oversample the smaller class to the size of the larger one.
 
     New rows lie between a minority row and one of its ``k`` nearest minority rows; which one, and how far

@@ -38,10 +38,15 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the folder the cluster names; a private one only if none is named."""
+    """Reliable checkpoint in the folder that ``spark.checkpoint.dir`` names.
+
+    Only a local session may do without the setting; it then gets a folder of its own.
+    """
     spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="callsieve-checkpoint-"))
     return df.checkpoint()

@@ -60,7 +60,7 @@ def test_rand_index(spark):
 @pytest.mark.parametrize("block", [7, 1000])
 def test_nearest_neighbours_equal_brute_force(spark, block):
     random = np.random.default_rng(5)
-    points = np.concatenate([random.normal(0, 1, (60, 6)), random.normal(8, 0.3, (60, 6)), random.uniform(-20, 20, (30, 6))])
+    points = np.concatenate([random.normal(0, 1, (60, 6)), random.normal(8, 0.3, (60, 6)), random.uniform(-20, 20, (30, 6)), np.ones((70, 6))])  # a third are copies
     df = spark.createDataFrame([(i, [float(x) for x in p]) for i, p in enumerate(points)], "id long, v array<double>")
     got = {}
     for r in neighbors.nearest(df, "id", "v", k=4, pivots=9, block_rows=block).collect():
