@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .quantiles import exact_quantiles
 
 # Fixed values.
@@ -82,7 +83,8 @@ def standard_scale(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def prepare_fraud(df: DataFrame) -> DataFrame:
     """The whole production chain; the order of steps decides the result."""
-    df = derive_fraud(clip_percentile(zscore_filter(clean_fraud(df), "Report_Count"), "Financial_Loss"))
+    df = cut_lineage(clean_fraud(df))  # the statistics of the next steps read it again and again
+    df = derive_fraud(clip_percentile(zscore_filter(df, "Report_Count"), "Financial_Loss"))
     df = df.drop("Report_Time", "Cluster_ID")
     return robust_scale(one_hot(df, ["Age_Group", "Education"]), SCALED)
 

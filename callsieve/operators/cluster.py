@@ -138,7 +138,8 @@ def dbscan(df: DataFrame, id_col: str, columns: list[str], eps: float = 0.6, min
     A border point near several clusters joins the one with the smallest number.
     """
     dims = len(columns)
-    points = cut_lineage(core_points(points_in_cells(df, id_col, columns, eps), dims, eps, min_points))
+    placed = cut_lineage(points_in_cells(df, id_col, columns, eps))
+    points = cut_lineage(core_points(placed, dims, eps, min_points))
     core = points.filter("is_core")
     cells = points.select("cell", *[f"c{i}" for i in range(dims)]).distinct()
     pairs = cut_lineage(adjacent_cells(cells, dims))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .prefix import running
 
 EPSILON = 1e-8
@@ -13,10 +14,11 @@ EPSILON = 1e-8
 def cumulative_counts(scored: DataFrame, bands: int = 4096) -> DataFrame:
     """True and false positives at every distinct score, from high to low.
 
-    Rows are combined per distinct score first; the running sums then go score band by score band.
+    Rows are combined per distinct score first, and that table is written once, since the running sums and
+    the totals read it several times. The running sums then go score band by score band.
     """
-    by_score = scored.groupBy("score").agg(
-        F.sum(F.col("label").cast("long")).alias("pos"), F.sum(1 - F.col("label").cast("long")).alias("neg"))
+    by_score = cut_lineage(scored.groupBy("score").agg(
+        F.sum(F.col("label").cast("long")).alias("pos"), F.sum(1 - F.col("label").cast("long")).alias("neg")))
     totals = by_score.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
     cumulative = running(by_score, [], [F.desc("score")], -F.floor(F.col("score") * bands),
                          sums={"tp": F.col("pos"), "fp": F.col("neg")})

@@ -7,6 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .prefix import numbered
 from .profile import missing
 
@@ -127,10 +128,11 @@ def inject_junk_rows(df: DataFrame, id_col: str, rows: int, profile: str = "medi
 
 
 def corrupt(df: DataFrame, id_col: str, profile: str = "medium") -> DataFrame:
-    """All four kinds of damage in order."""
-    rows = df.count()
-    damaged = inject_duplicates(inject_errors(inject_missing(df, id_col, profile), id_col, profile), id_col, profile)
-    return inject_junk_rows(damaged, id_col, rows, profile)
+    """All four kinds of damage in order. Every step reads its input several times, so each result is written once."""
+    df = cut_lineage(df)
+    gaps = cut_lineage(inject_missing(df, id_col, profile))
+    wrong = cut_lineage(inject_errors(gaps, id_col, profile))
+    return inject_junk_rows(inject_duplicates(wrong, id_col, profile), id_col, df.count(), profile)
 
 
 def corruption_delta(before: DataFrame, after: DataFrame) -> DataFrame:

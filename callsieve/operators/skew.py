@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scoring import risk_tier
@@ -40,7 +40,8 @@ def salted_partial(df: DataFrame, threshold: int = 1000, salts: int = 32) -> Dat
     """Partial sums per (number, salt); only hot numbers get a salt, the rest have null.
 
     Every row is first summed under its salt, which map-side combining shrinks before the shuffle. The
-    hot test then runs on at most ``salts`` rows per number instead of joining it back to the calls.
+    hot test is then a window over at most ``salts`` rows per number, instead of a join back to the calls;
+    its partitioning by number also serves the two aggregations that follow.
     """
     by_salt = df.groupBy("phone_number", bucket_of(F.col("call_id").cast("string"), salts).alias("salt")).agg(
         F.count("*").alias("call_count"),
@@ -48,8 +49,8 @@ def salted_partial(df: DataFrame, threshold: int = 1000, salts: int = 32) -> Dat
         F.sum("call_duration_sec").alias("total_duration"),
         F.count_if("is_voip").alias("voip_count"),
         F.sum(F.when(F.col("reported_as_scam"), F.col("weight")).otherwise(0.0)).alias("weighted_scam_score"))
-    totals = by_salt.groupBy("phone_number").agg((F.sum("call_count") >= threshold).alias("hot"))
-    flagged = by_salt.join(totals, "phone_number").withColumn("salt", F.when(F.col("hot"), F.col("salt")))
+    of_number = F.sum("call_count").over(Window.partitionBy("phone_number"))
+    flagged = by_salt.withColumn("_total", of_number).withColumn("salt", F.when(F.col("_total") >= threshold, F.col("salt")))
     return flagged.groupBy("phone_number", "salt").agg(*[F.sum(m).alias(m) for m in MEASURES])
 
 
@@ -85,10 +86,9 @@ def skew_report(df: DataFrame, threshold: int = 1000, salts: int = 32, partition
         F.try_divide(F.max("records"), F.avg("records")).alias("post_salt_skew_ratio"))
     before = partials.groupBy("phone_number").agg(
         F.sum("call_count").alias("n"), F.max("salt").isNotNull().alias("hot")).agg(
-        F.try_divide(F.max("n"), F.avg("n")).alias("r"), F.count_if("hot").alias("h"))
+        F.struct(F.try_divide(F.max("n"), F.avg("n")).alias("r"), F.count_if("hot").alias("h")).alias("s")).scalar()
     return load.select("*", F.lit(partitions).cast("long").alias("total_partitions"),
-                       before.select("r").scalar().alias("pre_salt_skew_ratio"),
-                       before.select("h").scalar().alias("hot_keys_salted"))
+                       before["r"].alias("pre_salt_skew_ratio"), before["h"].alias("hot_keys_salted"))
 
 
 def etl_summary(df: DataFrame, threshold: int = 1000) -> DataFrame:

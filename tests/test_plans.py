@@ -35,8 +35,9 @@ def test_filters_reach_the_scan(spark):
     assert "PushedFilters: [In(event_type" in plan(spark, "report_sessions")
 
 
-def test_risk_combines_before_the_first_shuffle(spark):
+def test_risk_reads_once_and_combines_before_the_first_shuffle(spark):
     text = plan(spark, "number_risk")
-    # Bottom-up: partial aggregation sits directly above the scan side of the lowest exchange.
-    lowest = text[: text.rindex("FileScan")]
-    assert lowest.rindex("partial_count") > lowest.rindex("Exchange hashpartitioning(phone_number")
+    assert text.count("FileScan") == 1 and "Join" not in text
+    assert len(re.findall(r"Exchange hashpartitioning", text)) == 2
+    # Bottom-up: the partial aggregation sits between the scan and the lowest exchange by number.
+    assert text.rindex("partial_count") > text.rindex("Exchange hashpartitioning(phone_number")
