@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, sharding
+from . import fingerprints, langid, linededup, mixing, packing, sharding, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,38 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op2_toxicity")
+def op2(spark, sf_dir):
+    scored = toxicity.tagged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted", "spans")
+
+
+@query("op5_line_dedup", """
+with lines as (
+  select doc_id, u.line as line, u.nr as nr
+  from documents, unnest(string_split(coalesce(text, ''), chr(10))) with ordinality as u(line, nr)),
+keyed as (
+  select *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key
+  from lines),
+repeated as (
+  select key, max(doc_id) as largest from keyed where length(key) >= 40
+  group by key having count(distinct doc_id) >= 5),
+marked as (
+  select k.*, r.key is not null and k.doc_id <> r.largest as gone from keyed k left join repeated r on k.key = r.key)
+select doc_id, count(*) as n_lines, count(*) filter (where gone) as n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) order by nr) filter (where not gone), '')) as kept_sha256
+from marked group by doc_id""")
+def op5(spark, sf_dir):
+    kept = linededup.deduplicated(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"))
+
+
+@query("op6_document_fingerprints")
+def op6(spark, sf_dir):
+    return fingerprints.compared(table(spark, sf_dir, "documents"))
+
+
 @query("op7_sharding")
 def op7(spark, sf_dir):
     placed = sharding.shards(table(spark, sf_dir, "documents"))
@@ -31,6 +63,16 @@ def op7(spark, sf_dir):
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query("op8_mixing")
+def op8(spark, sf_dir):
+    return mixing.mixed(table(spark, sf_dir, "documents"))
+
+
+@query("op9_language_id")
+def op9(spark, sf_dir):
+    return langid.identified(table(spark, sf_dir, "documents"))
+
+
 @query("op10_best_fit_packing")
 def op10(spark, sf_dir):
     return packing.sequences(table(spark, sf_dir, "documents"))
