@@ -18,12 +18,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UNKNOWN = "und"
-DIMS, CLUSTERS, ROUNDS, SLICE = 4096, 4, 8, 1 << 20
+DIMS, CLUSTERS, ROUNDS, SLICE = 4096, 6, 8, 1 << 20
 #: Rows that the centroids are fitted on, about, and the share of a centroid's texts that may lie beyond its radius.
 SAMPLE_ROWS, BEYOND = 2000, 0.005
 ASCII_LETTER = re.compile("[A-Za-z]")
-SMALL = np.arange(256, dtype=np.uint32)
-SMALL[65:91] += 32
+#: Bytes as they count: letters and all non-ASCII bytes as they are, anything else as a space.
+PLAIN = np.where((np.arange(256) >= 128) | ((np.arange(256) >= 97) & (np.arange(256) <= 122)), np.arange(256), 32).astype(np.uint32)
 
 
 def has_letter(text: str | None) -> bool:
@@ -31,11 +31,12 @@ def has_letter(text: str | None) -> bool:
 
 
 def counts(text: str) -> np.ndarray:
-    """Counts of hashed bigrams and trigrams of the text's small-letter UTF-8 bytes, slice by slice."""
-    held = np.frombuffer(text.encode("utf-8", "replace"), dtype=np.uint8)
+    """Counts of hashed bigrams and trigrams of the text's letters (small, as UTF-8 bytes; one space between words), slice by slice."""
+    held = PLAIN[np.frombuffer(text.lower().encode("utf-8", "replace"), dtype=np.uint8)]
+    held = held[(held != 32) | (np.roll(held, 1) != 32)]
     out = np.zeros(DIMS, dtype=np.float32)
     for start in range(0, max(len(held) - 1, 1), SLICE):
-        a = SMALL[held[start:start + SLICE + 2]]
+        a = held[start:start + SLICE + 2]
         two = a[:-1] * np.uint32(0x9E3779B1) + a[1:] * np.uint32(0x85EBCA77)
         three = two[:-1] * np.uint32(0xC2B2AE3D) + a[2:] * np.uint32(0x27D4EB2F)
         for codes in (two[:SLICE], three[:SLICE]):

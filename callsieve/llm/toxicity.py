@@ -222,6 +222,12 @@ def _spans(text: str, tokens: list[int]) -> list[tuple[int, int]]:
     return out
 
 
+def surely(hits: int, n: int, z: float = 1.96) -> float:
+    """Lower bound of the share behind ``hits`` of ``n`` (Wilson score)."""
+    p = hits / n
+    return (p + z * z / (2 * n) - z * np.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+
+
 def fit(docs: DataFrame, labels: DataFrame, evidence_rows: int = EVIDENCE_ROWS, fit_rows: int = FIT_ROWS) -> Tagger:
     """Tagger from texts and 0/1 labels of their documents.
 
@@ -250,12 +256,11 @@ def fit(docs: DataFrame, labels: DataFrame, evidence_rows: int = EVIDENCE_ROWS,
     counted = (sample.mapInArrow(count, "feature string, n long, n_toxic long").groupBy("feature")
                .agg(F.sum("n").alias("n"), F.sum("n_toxic").alias("n_toxic")))
     # Only features nearly bound to toxic documents come to the driver; a bounded sample holds a bounded number.
-    kept = counted.filter("feature = '' or n_toxic >= 6 and n_toxic >= 0.8 * n").collect()
+    kept = counted.filter("feature = '' or n_toxic >= 6 and n_toxic >= 0.7 * n").collect()
     all_docs, all_toxic = next(((r["n"], r["n_toxic"]) for r in kept if r["feature"] == ""), (0, 0))
-    least = max(6.0, 0.004 * all_toxic)
     evidence = {}
     for r in kept:
-        if r["feature"] and r["n_toxic"] >= least:
+        if r["feature"] and r["n_toxic"] >= 0.004 * all_toxic and surely(r["n_toxic"], r["n"]) >= (0.8 if r["feature"][-1] == "*" else 0.7):
             odds = np.log((r["n_toxic"] + 0.5) / (all_toxic + 1)) - np.log((r["n"] - r["n_toxic"] + 0.5) / (all_docs - all_toxic + 1))
             evidence[r["feature"]] = int(np.searchsorted(BOUNDS, odds, side="right"))
     tagger = Tagger(evidence, Chain(np.zeros(LEVELS), np.zeros((2, 2)), 0.0))
