@@ -14,6 +14,7 @@ matrices are chained per document, and the vectors at block borders then give al
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -29,7 +30,7 @@ BOUNDS, STRONG = (1.0, 2.0, 3.0, 4.0, 5.0, 6.0), 3
 LEVELS = len(BOUNDS) + 1
 BLOCK, BATCH_TOKENS, MOST_WORDS = 64, 600_000, 300_000
 #: Bounds of the sample that evidence is counted on (documents), and of the one that the chain is fitted on.
-EVIDENCE_ROWS, FIT_ROWS, FIT_TOKENS = 20_000, 1500, 3000
+EVIDENCE_ROWS, FIT_ROWS, FIT_TOKENS = 12_000, 1500, 3000
 ROUNDS, PRIOR = 60, 0.5
 #: Marginals below this do not count, or a long text would be toxic for its length.
 LEAST = 0.01
@@ -241,6 +242,14 @@ def fit(docs: DataFrame, labels: DataFrame, evidence_rows: int = EVIDENCE_ROWS,
     chosen = F.broadcast(labelled.filter(chance * n < evidence_rows))
     sample = docs.select("doc_id", "text").join(chosen, "doc_id").select("text", "toxic")
 
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = []
+            for text in batch.column(0):
+                words = WORD.findall(text.as_py() or "")
+                keys.append(min((zlib.crc32(" ".join(words[i:i + 3]).encode()) for i in range(max(1, len(words) - 2)))))
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), *batch.columns], names=["key", "text", "toxic"])
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             both, toxic = Counter(), Counter()
@@ -253,14 +262,18 @@ def fit(docs: DataFrame, labels: DataFrame, evidence_rows: int = EVIDENCE_ROWS,
             yield pa.RecordBatch.from_arrays([pa.array(both.keys(), pa.string()), pa.array(both.values(), pa.int64()),
                                               pa.array([toxic[f] for f in both], pa.int64())], names=["feature", "n", "n_toxic"])
 
-    counted = (sample.mapInArrow(count, "feature string, n long, n_toxic long").groupBy("feature")
+    # Of texts that share the smallest hash of their word triples, near copies mostly, one counts: else the words of a text with
+    # many copies would look toxic.
+    once = (sample.withColumn("toxic", F.col("toxic").cast("int")).mapInArrow(sketch, "key long, text string, toxic int")
+            .dropDuplicates(["key"]).select("text", "toxic"))
+    counted = (once.mapInArrow(count, "feature string, n long, n_toxic long").groupBy("feature")
                .agg(F.sum("n").alias("n"), F.sum("n_toxic").alias("n_toxic")))
     # Only features nearly bound to toxic documents come to the driver; a bounded sample holds a bounded number.
     kept = counted.filter("feature = '' or n_toxic >= 6 and n_toxic >= 0.7 * n").collect()
     all_docs, all_toxic = next(((r["n"], r["n_toxic"]) for r in kept if r["feature"] == ""), (0, 0))
     evidence = {}
     for r in kept:
-        if r["feature"] and r["n_toxic"] >= 0.004 * all_toxic and surely(r["n_toxic"], r["n"]) >= (0.8 if r["feature"][-1] == "*" else 0.7):
+        if r["feature"] and r["n_toxic"] >= 0.01 * all_toxic and surely(r["n_toxic"], r["n"]) >= (0.8 if r["feature"][-1] == "*" else 0.7):
             odds = np.log((r["n_toxic"] + 0.5) / (all_toxic + 1)) - np.log((r["n"] - r["n_toxic"] + 0.5) / (all_docs - all_toxic + 1))
             evidence[r["feature"]] = int(np.searchsorted(BOUNDS, odds, side="right"))
     tagger = Tagger(evidence, Chain(np.zeros(LEVELS), np.zeros((2, 2)), 0.0))
