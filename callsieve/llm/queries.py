@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, langid, linededup, mixing, packing, sharding, toxicity
+from . import fingerprints, langid, linededup, mixing, packing, sharding, substring, topk, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,12 +24,33 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_substring_dedup")
+def op1(spark, sf_dir):
+    return substring.spans(table(spark, sf_dir, "documents"))
+
+
 @query("op2_toxicity")
 def op2(spark, sf_dir):
     scored = toxicity.tagged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return scored.select("doc_id", "held_out", "score", "predicted", "spans")
 
 
+@query("op4_exact_top_k", """
+with whole as (
+  select vec_id, list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint)) as v
+  from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+  select q.vec_id as query_id, c.vec_id,
+         cast(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) as bigint) as score
+  from whole q join whole c on q.vec_id % 20 = 0 and q.vec_id <> c.vec_id)
+select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank, vec_id, score
+from scored qualify rank <= 20""")
+def op4(spark, sf_dir):
+    vectors = topk.whole(table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("x")))
+    return topk.nearest(vectors.filter("id % 20 = 0"), vectors)
+
+
 @query("op5_line_dedup", """
 with lines as (
   select doc_id, u.line as line, u.nr as nr
