@@ -30,14 +30,14 @@ def shared_folder(spark: SparkSession) -> str:
     return named
 
 
-def written(df: DataFrame) -> DataFrame:
+def written(df: DataFrame, parted_by: str | None = None) -> DataFrame:
     """``df`` as a table in the shared folder, so that neither lost executors nor reuse compute it again.
 
     Like checkpoints, these tables are left to the cluster's clean-up of that folder.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=parted_by)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, langid, linededup, mixing, packing, sharding, substring, topk, toxicity
+from . import fingerprints, jaccard, langid, linededup, mixing, packing, sharding, substring, topk, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,11 @@ def op2(spark, sf_dir):
     return scored.select("doc_id", "held_out", "score", "predicted", "spans")
 
 
+@query("op3_ngram_jaccard_join")
+def op3(spark, sf_dir):
+    return jaccard.joined(table(spark, sf_dir, "documents"))
+
+
 @query("op4_exact_top_k", """
 with whole as (
   select vec_id, list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint)) as v
