@@ -97,15 +97,16 @@ def _occurrences(docs: DataFrame, min_chars: int) -> DataFrame:
     return docs.mapInArrow(lines, "a long, b long, doc long")
 
 
-def deduplicated(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
-    """doc_id, text (kept lines), n_lines, n_dropped of every row of ``docs`` (doc_id, text; other columns are ignored).
+def deduplicated(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, carried: list[str] | None = None) -> DataFrame:
+    """doc_id, text (kept lines), n_lines, n_dropped of every row of ``docs`` (doc_id, text), and its ``carried`` columns; others are ignored.
 
     Null or empty texts are one empty line. Rows are documents: repeated rows count each, and all rows with the largest
     id keep the line. A null id sorts below all others and stays null. Lines are compared whole; an empty table gives
     an empty result.
     """
-    own = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), "text")
-    found = written(_occurrences(own, min_chars))
+    more = F.struct(*(carried or [F.lit(None).cast("int").alias("nothing")])).alias("_more")
+    own = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), "text", more)
+    found = written(_occurrences(own.select("doc", "text"), min_chars))
     counted = written(found.groupBy("a", "b").agg(F.count("*").alias("n"), F.max("doc").alias("largest"))
                       .filter(F.col("n") >= min_docs))
     total = counted.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
@@ -147,7 +148,7 @@ def deduplicated(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
         head_index = LineIndex.load(*shipped.value)
         for batch in batches:
             kept, n_lines, n_dropped = [], [], []
-            for doc, text, gone in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
+            for doc, text, gone in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(3).to_pylist()):
                 lines, hashes = line_hashes(text.as_py(), min_chars)
                 at = [i for i, h in enumerate(hashes) if h]
                 both = np.frombuffer(b"".join(hashes[i] for i in at), dtype="<i8").reshape(-1, 2)
@@ -161,6 +162,9 @@ def deduplicated(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
             ids = batch.column(0).to_numpy()
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, mask=ids == NO_ID), pa.array(kept, pa.string()), pa.array(n_lines, pa.int64()),
-                 pa.array(n_dropped, pa.int64())], names=["doc_id", "text", "n_lines", "n_dropped"])
+                 pa.array(n_dropped, pa.int64()), batch.column(2)], names=["doc_id", "text", "n_lines", "n_dropped", "_more"])
 
-    return own.join(dropped, "doc", "left").mapInArrow(keep, "doc_id long, text string, n_lines long, n_dropped long")
+    kind = own.select("_more").schema["_more"].dataType.simpleString()
+    kept = own.join(dropped, "doc", "left").select("doc", "text", "_more", "gone").mapInArrow(
+        keep, f"doc_id long, text string, n_lines long, n_dropped long, _more {kind}")
+    return kept.select("doc_id", "text", "n_lines", "n_dropped", *[F.col("_more")[c].alias(c) for c in carried or []])
