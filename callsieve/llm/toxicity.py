@@ -1,7 +1,7 @@
 """Toxic spans and document scores from a linear-chain conditional random field.
 
-The labels say which documents are toxic, not which words. Words, and word starts of four and five letters, that hardly occur outside
-toxic documents give each token an evidence level; tokens of toxic documents with strong evidence are the labelled
+The labels say which documents are toxic, not which words. Words, and word starts of four to seven letters, that hardly occur outside
+toxic documents give each token an evidence level; tokens of other toxic documents with strong evidence are the labelled
 tokens. A two-state chain (clean, toxic) with an emission weight per evidence level, transitions and a start weight is
 fitted to them by gradient ascent. Forward-backward marginals then score every token of every whole text: a
 document's score is the chance that any token is toxic, taking the marginals as independent and leaving out tiny ones, and its spans are runs of
@@ -24,14 +24,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WORD = re.compile(r"[^\W\d_]+")
-STARTS = (4, 5)
+STARTS = (4, 5, 6, 7)
 #: Evidence levels: log-odds from each of these bounds on; below is level 0. Tokens from STRONG on are labelled toxic.
 BOUNDS, STRONG = (1.0, 2.0, 3.0, 4.0, 5.0, 6.0), 3
 LEVELS = len(BOUNDS) + 1
 BLOCK, BATCH_TOKENS, MOST_WORDS = 64, 600_000, 300_000
 #: Bounds of the sample that evidence is counted on (documents), and of the one that the chain is fitted on.
 EVIDENCE_ROWS, FIT_ROWS, FIT_TOKENS = 12_000, 1500, 3000
-ROUNDS, PRIOR = 60, 0.5
+ROUNDS, PRIOR, SURE = 60, 0.5, 0.5
 #: Marginals below this do not count, or a long text would be toxic for its length.
 LEAST = 0.01
 
@@ -140,7 +140,11 @@ class Chain:
             steps = np.clip(np.where(same > 0, steps * 1.2, np.where(same < 0, steps * 0.5, steps)), 1e-4, 2)
             weights = weights + np.sign(slope) * steps
             last = np.sign(slope)
-        return cls(weights[:LEVELS], weights[LEVELS:LEVELS + 4].reshape(2, 2), weights[-1])
+        emission = weights[:LEVELS].copy()
+        for level in range(1, LEVELS):  # a level without tokens is worth the one below
+            if not (levels == level).any():
+                emission[level] = emission[level - 1]
+        return cls(emission, weights[LEVELS:LEVELS + 4].reshape(2, 2), weights[-1])
 
 
 class Levels(dict):
@@ -232,14 +236,15 @@ def surely(hits: int, n: int, z: float = 1.96) -> float:
 def fit(docs: DataFrame, labels: DataFrame, evidence_rows: int = EVIDENCE_ROWS, fit_rows: int = FIT_ROWS) -> Tagger:
     """Tagger from texts and 0/1 labels of their documents.
 
-    Evidence is counted on about ``evidence_rows`` labelled documents, the chain is fitted on at most ``fit_rows`` of them, leaving out
-    texts of more than ``FIT_TOKENS`` words; both are chosen by a hash of the id.
+    Evidence is counted on about ``evidence_rows`` labelled documents (three quarters at most), the chain is fitted on about ``fit_rows``
+    others (a quarter at most), leaving out texts of more than ``FIT_TOKENS`` words; both are chosen by a hash of the id.
     """
     labelled = labels.filter("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     n = labelled.count()
     chance = F.xxhash64("doc_id") / 2.0 ** 64 + 0.5
     # At most about evidence_rows short rows, so that broadcasting them is safe.
-    chosen = F.broadcast(labelled.filter(chance * n < evidence_rows))
+    chosen = F.broadcast(labelled.filter(chance < min(evidence_rows / max(n, 1), 0.75)))
+    others = F.broadcast(labelled.filter(chance >= 1 - min(fit_rows / max(n, 1), 0.25)))
     sample = docs.select("doc_id", "text").join(chosen, "doc_id").select("text", "toxic")
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -269,11 +274,11 @@ def fit(docs: DataFrame, labels: DataFrame, evidence_rows: int = EVIDENCE_ROWS,
     counted = (once.mapInArrow(count, "feature string, n long, n_toxic long").groupBy("feature")
                .agg(F.sum("n").alias("n"), F.sum("n_toxic").alias("n_toxic")))
     # Only features nearly bound to toxic documents come to the driver; a bounded sample holds a bounded number.
-    kept = counted.filter("feature = '' or n_toxic >= 6 and n_toxic >= 0.7 * n").collect()
+    kept = counted.filter("feature = '' or n_toxic >= 6 and n_toxic >= 0.5 * n").collect()
     all_docs, all_toxic = next(((r["n"], r["n_toxic"]) for r in kept if r["feature"] == ""), (0, 0))
     evidence = {}
     for r in kept:
-        if r["feature"] and r["n_toxic"] >= 0.01 * all_toxic and surely(r["n_toxic"], r["n"]) >= (0.8 if r["feature"][-1] == "*" else 0.7):
+        if r["feature"] and r["n_toxic"] >= 0.01 * all_toxic and surely(r["n_toxic"], r["n"]) >= SURE:
             odds = np.log((r["n_toxic"] + 0.5) / (all_toxic + 1)) - np.log((r["n"] - r["n_toxic"] + 0.5) / (all_docs - all_toxic + 1))
             evidence[r["feature"]] = int(np.searchsorted(BOUNDS, odds, side="right"))
     tagger = Tagger(evidence, Chain(np.zeros(LEVELS), np.zeros((2, 2)), 0.0))
@@ -283,7 +288,7 @@ def fit(docs: DataFrame, labels: DataFrame, evidence_rows: int = EVIDENCE_ROWS,
             coded = [tagger.encode(t.as_py()) for t in batch.column(0)]
             yield pa.RecordBatch.from_arrays([pa.array(coded, pa.binary()), batch.column(1)], names=["levels", "toxic"])
 
-    rows = (docs.select("doc_id", "text").join(F.broadcast(chosen.filter(chance * n < fit_rows)), "doc_id")
+    rows = (docs.select("doc_id", "text").join(others, "doc_id")
             .select("text", F.col("toxic").cast("int").alias("toxic"))
             .mapInArrow(encode, "levels binary, toxic int").filter(f"length(levels) between 1 and {FIT_TOKENS}").collect())
     rows.sort(key=lambda r: (bytes(r["levels"]), r["toxic"]))
