@@ -13,7 +13,6 @@ DATE_FORMATS = {
     "yyyy-MM-dd": r"^\d{4}-\d{2}-\d{2}$",
     "yyyy-MM-dd'T'HH:mm:ssX": r"^\d{4}-\d{2}-\d{2}T",
 }
-
 CLOCK = r"^(\d{1,2}):(\d{2})\s*(am|pm)?"
 
 

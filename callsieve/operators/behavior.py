@@ -11,12 +11,12 @@ from .prefix import previous_row
 
 # Feature names in vector order, and the countries treated as high risk.
 FEATURES = [
-    "avg_duration_sec", "max_duration_sec", "min_duration_sec", "duration_std", "short_call_ratio", "voip_ratio",
-    "unique_countries", "cross_border_ratio", "country_entropy", "high_risk_country_ratio", "unique_callees",
-    "fan_out_ratio", "max_calls_to_single", "repeat_callee_ratio", "unique_devices", "calls_per_hour_avg",
-    "calls_per_hour_max", "peak_hour", "night_call_ratio", "weekend_ratio", "burst_count_5min",
-    "avg_time_between_calls_sec", "call_regularity_std", "device_switch_count", "sms_to_call_ratio",
-    "reciprocity_ratio", "total_reports", "weighted_report_score", "report_density_per_day", "unique_reporters",
+    "calls_per_hour_avg", "calls_per_hour_max", "peak_hour", "night_call_ratio", "burst_count_5min",
+    "avg_time_between_calls_sec", "call_regularity_std", "weekend_ratio", "avg_duration_sec", "max_duration_sec",
+    "min_duration_sec", "short_call_ratio", "duration_std", "unique_countries", "cross_border_ratio",
+    "country_entropy", "high_risk_country_ratio", "voip_ratio", "unique_devices", "device_switch_count",
+    "sms_to_call_ratio", "unique_callees", "reciprocity_ratio", "fan_out_ratio", "repeat_callee_ratio",
+    "max_calls_to_single", "total_reports", "weighted_report_score", "report_density_per_day", "unique_reporters",
     "category_diversity",
 ]
 HIGH_RISK_COUNTRIES = ["MM", "KH", "LA", "TH", "NG", "GH"]
@@ -63,6 +63,12 @@ def reciprocity(calls: DataFrame) -> DataFrame:
             .agg(F.avg(F.coalesce("returned", F.lit(0))).alias("reciprocity_ratio")))
 
 
+def vector_positions(table: DataFrame) -> DataFrame:
+    """phone_number, position (from 1), name and value of every entry of the feature vector."""
+    entries = F.array(*[F.struct(F.lit(i).alias("position"), F.lit(n).alias("name"), F.col(n).alias("value")) for i, n in enumerate(FEATURES, 1)])
+    return table.select("phone_number", F.explode(entries).alias("e")).select("phone_number", "e.*")
+
+
 def behavior_features(calls: DataFrame, reports: DataFrame) -> DataFrame:
     """One row per calling number. ``reports``: phone_number, ts, reporter, scam_category, weight."""
     calls = calls.select(

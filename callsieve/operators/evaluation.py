@@ -1,4 +1,4 @@
-"""Classifier evaluation from scored tables (score in [0, 1], label 0/1)."""
+"""Classifier evaluation from scored tables (score in [0, 1], label 0/1); rows without a score or label are left out."""
 
 from __future__ import annotations
 
@@ -11,16 +11,28 @@ from .prefix import running
 EPSILON = 1e-8
 
 
-def cumulative_counts(scored: DataFrame, bands: int = 4096) -> DataFrame:
+def score_band(score: Column, bands: int = 4096) -> Column:
+    """Bands that grow with the score: ``bands`` of them for each halving of it, so scores crowded near 0 are parted, too."""
+    halving = F.floor(F.log2(F.greatest(score, F.lit(1e-300))))
+    return halving * bands + F.floor((score / F.pow(F.lit(2.0), halving) - 1) * bands)
+
+
+def unscored(scored: DataFrame) -> DataFrame:
+    """How many rows have no score, and how many no label."""
+    return scored.agg(F.count_if(F.col("score").isNull() | F.isnan("score")).alias("without_score"), F.count_if(F.col("label").isNull()).alias("without_label"))
+
+
+def cumulative_counts(scored: DataFrame) -> DataFrame:
     """True and false positives at every distinct score, from high to low.
 
     Rows are combined per distinct score first, and that table is written once, since the running sums and
     the totals read it several times. The running sums then go score band by score band.
     """
+    scored = scored.filter(F.col("score").isNotNull() & ~F.isnan("score") & F.col("label").isNotNull())
     by_score = cut_lineage(scored.groupBy("score").agg(
         F.sum(F.col("label").cast("long")).alias("pos"), F.sum(1 - F.col("label").cast("long")).alias("neg")))
     totals = by_score.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
-    cumulative = running(by_score, [], [F.desc("score")], -F.floor(F.col("score") * bands),
+    cumulative = running(by_score, [], [F.desc("score")], -score_band(F.col("score")),
                          sums={"tp": F.col("pos"), "fp": F.col("neg")})
     return cumulative.select("score", "pos", "neg", "tp", "fp", totals.select("p").scalar().alias("p"),
                              totals.select("n").scalar().alias("n"))

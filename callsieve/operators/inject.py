@@ -24,7 +24,7 @@ MISSING_WEIGHTS = {
 ERROR_WEIGHTS = {
     "caller_id": 1.0, "time_of_issue": 1.0, "date_of_issue": 1.0, "state": 0.8, "zip": 0.8, "method": 0.8, "issue": 0.8,
 }
-# Wrong values per column as SQL text; h is a number drawn from the cell's hash.
+# Wrong values per column as SQL text; h is a number drawn from the cell's hash.
 ERROR_VALUES = {
     "caller_id": [
         "concat('abcdefg', substr('hijabcdefg', cast(h % 7 as int) + 1, 3))", "cast(h % 9999 as string)", "'000-000-0000'",

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .complaints import FEATURES
-from .prefix import running
+from .prefix import matched, running
 
 MIN_CALLS, WRITE_STEP = 5, 0.01
 
@@ -73,64 +75,89 @@ def gate(scored: DataFrame, threshold: float, min_calls: int = MIN_CALLS) -> Dat
     return scored.filter((F.col("probability") >= threshold) & (F.col("total_calls") >= min_calls))
 
 
-def writes_from(probabilities: np.ndarray, last: float, step: float) -> np.ndarray:
-    """Mask of the values written, given the value written last (NaN for none)."""
-    written = np.zeros(len(probabilities), bool)
-    for i, p in enumerate(probabilities):
-        if not abs(p - last) <= step:
-            written[i], last = True, p
-    return written
-
-
-def chunk_exits(pdf: pd.DataFrame, step: float) -> pd.DataFrame:
-    """Last written value after a chunk, for every value possibly written before it.
+def entry_table(probabilities: np.ndarray, step: float) -> list[tuple[float, float]]:
+    """What a chunk does to the value written last before it: (value, last written value after the chunk) in order of time.
 
-    Probabilities have four decimals. Any earlier value further than ``step`` from the chunk's first one
-    is overwritten at once, so only the values near it need their own row; NaN stands for all others.
+    An earlier value e is overwritten by the first event more than ``step`` away, and what follows depends on that event alone. It is a new
+    highest or lowest value of the chunk, so those records are all that can overwrite, and none is needed past the first that
+    overwrites every e which the first event has left alone. When no record is far enough from e, e stays.
     """
-    p = pdf.sort_values(["ts", "call_id"])["probability"].to_numpy()
-    near = np.round(np.arange(round((p[0] - step) * 10_000) - 1, round((p[0] + step) * 10_000) + 2) / 10_000, 4)
-    entries = np.concatenate([[np.nan], near[np.abs(near - p[0]) <= step]])
-    state = entries.copy()
-    for value in p:
-        state = np.where(np.abs(state - value) <= step, state, value)
-    return pd.DataFrame({"phone_number": pdf["phone_number"].iat[0], "chunk": pdf["chunk"].iat[0], "entry": entries, "exit": state})
-
-
-def write_dedup(gated: DataFrame, step: float = WRITE_STEP, whole_rows: int = 50_000) -> DataFrame:
+    p = probabilities
+    highs, lows = np.maximum.accumulate(p), np.minimum.accumulate(p)
+    record = np.concatenate([[True], (p[1:] > highs[:-1]) | (p[1:] < lows[:-1])])
+    places = np.flatnonzero(record)
+    far_up, far_down = (np.flatnonzero(x)[:1] for x in (p[places] - p[0] > 2 * step + 1e-9, p[0] - p[places] > 2 * step + 1e-9))
+    if len(far_up) and len(far_down):
+        places = places[:max(far_up[0], far_down[0]) + 1]
+    state = p[places].copy()
+    for i, value in enumerate(p):
+        state = np.where((places < i) & ~(np.abs(state - value) <= step), value, state)
+    return list(zip(p[places].tolist(), state.tolist()))
+
+
+def write_dedup(gated: DataFrame, step: float = WRITE_STEP) -> DataFrame:
     """Events written to the blacklist: the first, then those more than ``step`` from the last written.
 
-    What is written depends on the last write, so it looks like one long fold per number. Numbers of up to
-    ``whole_rows`` events are folded whole. The events of a larger number are cut into hours; each hour is
-    first reduced to a small table "last value before -> last value after". Walking these tables in time
-    order gives every hour its starting value, and then all hours are worked through in parallel.
+    What is written depends on the last write, so it looks like one long fold per number. Each hour of a number is first reduced to a
+    small table "last value before -> last value after" (:func:`entry_table`). Walking these tables in time order gives every hour its
+    starting value, and then all hours are worked through in parallel. Rows without a time come first; rows without a
+    probability are never written.
     """
     schema = gated.schema
-    sizes = gated.groupBy("phone_number").agg((F.count("*") > whole_rows).alias("large"))
-    hour = F.unix_micros(F.date_trunc("hour", "ts"))
-    rows = gated.join(sizes, "phone_number").withColumn("chunk", F.when(F.col("large"), hour).otherwise(0))
-    exits = (rows.filter("large").select("phone_number", "chunk", "ts", "call_id", "probability")
-             .groupBy("phone_number", "chunk").applyInPandas(
-        lambda pdf: chunk_exits(pdf, step), "phone_number string, chunk long, entry double, exit double"))
-
-    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        last, starts = np.nan, []
-        for number, part in pdf.groupby("chunk", sort=True):
-            starts.append((pdf["phone_number"].iat[0], number, last))
-            table = dict(zip(part["entry"], part["exit"]))
-            default = part.loc[part["entry"].isna(), "exit"].iat[0]
-            last = table.get(last, default)
-        return pd.DataFrame(starts, columns=["phone_number", "chunk", "last"])
-
-    starts = exits.groupBy("phone_number").applyInPandas(walk, "phone_number string, chunk long, last double")
-
-    def write(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["ts", "call_id"])
-        keep = writes_from(pdf["probability"].to_numpy(), pdf["last"].iat[0], step)
-        return pdf.loc[keep, schema.names]
-
-    placed = rows.join(starts, ["phone_number", "chunk"], "left").withColumn("last", F.coalesce("last", F.lit(float("nan"))))
-    return placed.groupBy("phone_number", "chunk").applyInPandas(write, schema)
+    hour = F.coalesce(F.unix_micros(F.date_trunc("hour", "ts")), F.lit(-(2 ** 62)))
+    rows = gated.filter(F.col("probability").isNotNull()).withColumn("chunk", hour)
+    key, order = ["phone_number", "chunk"], ["ts", "call_id"]
+
+    def tables(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, held = None, []
+
+        def done() -> list[tuple]:
+            return [(*now, i, value, after) for i, (value, after) in enumerate(entry_table(np.array(held), step))]
+
+        for pdf in batches:
+            out = []
+            for *own, p in zip(pdf["phone_number"], pdf["chunk"], pdf["probability"]):
+                if own != now:
+                    out += done() if held else []
+                    now, held = own, []
+                held.append(p)
+            yield pd.DataFrame(out, columns=["phone_number", "chunk", "place", "value", "after"])
+        if held:
+            yield pd.DataFrame(done(), columns=["phone_number", "chunk", "place", "value", "after"])
+
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        number = chunk = None
+        started = settled = False
+        last = after = np.nan
+        for pdf in batches:
+            starts = []
+            for phone, own, value, then in zip(pdf["phone_number"], pdf["chunk"], pdf["value"], pdf["after"]):
+                if not started or phone != number or own != chunk:
+                    last = after if started and phone == number else np.nan
+                    number, chunk, started, settled, after = phone, own, True, False, last
+                    starts.append((phone, own, last))
+                if not settled and not abs(value - last) <= step:
+                    settled, after = True, then
+            yield pd.DataFrame(starts, columns=["phone_number", "chunk", "last"])
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, last = None, np.nan
+        for pdf in batches:
+            keep = np.zeros(len(pdf), bool)
+            for i, (*own, before, p) in enumerate(zip(pdf["phone_number"], pdf["chunk"], pdf["last"], pdf["probability"])):
+                if own != now:
+                    now, last = own, before
+                if not abs(p - last) <= step:
+                    keep[i], last = True, p
+            yield pdf.loc[keep, schema.names]
+
+    def dealt(df: DataFrame, by: list[str], then: list[str]) -> DataFrame:
+        return df.repartition(*by).sortWithinPartitions(*by, *then)
+
+    exits = dealt(rows.select(*key, *order, "probability"), key, order).mapInPandas(
+        tables, "phone_number string, chunk long, place long, value double, after double")
+    starts = dealt(exits, ["phone_number"], ["chunk", "place"]).mapInPandas(walk, "phone_number string, chunk long, last double")
+    return dealt(matched(rows, starts, key), key, order).mapInPandas(write, schema)
 
 
 def latest_blacklist(log: DataFrame) -> DataFrame:

@@ -4,7 +4,8 @@ A plain ``Window.partitionBy(key)`` sorts every row of a key in one task, which
 holds a large share of the table. Here each key's ordered rows are cut into chunks (time slots, hash
 prefixes, score bands): chunk totals are pre-aggregated, a window over the few totals of a key gives
 each chunk its starting value, and a second window works inside single chunks. The chunk expression
-must grow with the sort order; keys and chunk must not be null.
+must grow with the sort order. Null keys are a key, and rows with a null order value come first, in a chunk of
+their own.
 """
 
 from __future__ import annotations
@@ -37,12 +38,21 @@ def running(
         *[F.max(f"_at_{n}").over(earlier).alias(f"_at_{n}") for n in maxes])
     inside = (Window.partitionBy(*group).orderBy(*order)
               .rowsBetween(Window.unboundedPreceding, -1 if before_row else 0))
-    return rows.join(starts, group).select(
+    return matched(rows, starts, group).select(
         *df.columns,
         *[(F.col(f"_at_{n}") + F.coalesce(F.sum(f"_in_{n}").over(inside), F.lit(0))).alias(n) for n in sums],
         *[F.greatest(F.col(f"_at_{n}"), F.max(f"_in_{n}").over(inside)).alias(n) for n in maxes])
 
 
+def matched(rows: DataFrame, totals: DataFrame, group: list[str]) -> DataFrame:
+    """Rows with the totals of their group, where null matches null."""
+    same = totals.withColumnsRenamed({g: f"_of_{g}" for g in group})
+    on = F.lit(True)
+    for g in group:
+        on = on & F.col(g).eqNullSafe(F.col(f"_of_{g}"))
+    return rows.join(same, on).drop(*[f"_of_{g}" for g in group])
+
+
 def numbered(df: DataFrame, keys: list[str], order: list[Column], chunk: Column, name: str) -> DataFrame:
     """1, 2, 3, ... per key in the given order."""
     return running(df, keys, order, chunk, sums={name: F.lit(1).cast("long")})
@@ -58,7 +68,7 @@ def previous_row(
     lasts = last.select(*group, F.lag("_last").over(
         Window.partitionBy(*keys).orderBy("_chunk")).alias("_last"))
     inside = Window.partitionBy(*group).orderBy(*order)
-    return rows.join(lasts, group).select(
+    return matched(rows, lasts, group).select(
         *df.columns, F.coalesce(F.lag(F.struct(*values)).over(inside), F.col("_last")).alias(name))
 
 

@@ -7,7 +7,6 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .joins import broadcast_if_small
 from .quantiles import exact_quantiles
 
 NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
@@ -127,7 +126,6 @@ def histogram(df: DataFrame, column: str, label: str, bins: int = 50) -> DataFra
     """Density histogram per class over the class's own range; the last bin includes its right edge."""
     rows = df.filter(F.col(column).isNotNull()).select(label, F.col(column).alias("_x"))
     facts = rows.groupBy(label).agg(F.min("_x").alias("lo"), F.max("_x").alias("hi"), F.count("*").alias("total"))
-    facts = broadcast_if_small(facts)
     width = (F.col("hi") - F.col("lo")) / bins
     spine = facts.select(label, "lo", "total", width.alias("width"),
                          F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))

@@ -1,9 +1,10 @@
-"""Exact interpolated quantiles by repeated histogram narrowing.
+"""Exact interpolated quantiles by narrowing from mergeable sketches.
 
-The built-in exact ``percentile`` keeps every distinct value of the table in one task. Up to
-``small_rows`` rows that is the quickest way and it is used. Beyond, every pass counts the values that
-fall in equal-width bins between the current bounds, then narrows the bounds to the one bin that holds
-the wanted rank, until that bin holds a single value. Only bin counts reach the driver.
+The built-in exact ``percentile`` keeps every distinct value of the table in one task. Here each round asks a quantile
+sketch (``percentile_approx``, merged across tasks) for two values around each wanted rank among the values still possible,
+counts exactly what lies below, at and between them, and either has the answer or goes on strictly between the two. Each round leaves
+about 2 / ``accuracy`` of the values, whatever their distribution, and excludes two values at least, so it always
+ends. Only sketches and counts reach the driver.
 """
 
 from __future__ import annotations
@@ -15,59 +16,73 @@ from pyspark.sql import functions as F
 
 
 def exact_quantiles(
-    df: DataFrame, columns: dict[str, Column], probs: list[float],
-    small_rows: int = 1_000_000, bins: int = 1024,
+    df: DataFrame, columns: dict[str, Column], probs: list[float], accuracy: int = 10_000,
 ) -> dict[str, list[float | None]]:
-    """Quantiles of each named expression, nulls ignored; None where there is no value."""
-    values = df.select(*[c.cast("double").alias(n) for n, c in columns.items()])
+    """Quantiles of each named expression; None where there is no value.
+
+    Nulls and NaN are missing values; infinities are the smallest and largest values.
+    """
+    values = df.select(*[F.nanvl(c.cast("double"), F.lit(None).cast("double")).alias(n) for n, c in columns.items()])
     names = list(columns)
-    facts = values.agg(*[f(n).alias(f"{n}_{i}") for n in names
-                         for i, f in enumerate((F.count, F.min, F.max))]).first()
-    if max((facts[f"{n}_0"] for n in names), default=0) <= small_rows:
-        wanted = F.array(*[F.lit(float(p)) for p in probs])
-        row = values.agg(*[F.percentile(n, wanted).alias(n) for n in names]).first()
-        return {n: list(row[n]) if row[n] is not None else [None] * len(probs) for n in names}
+    counts = values.agg(*[F.count(n).alias(n) for n in names]).first().asDict() if names else {}
 
-    # One entry per (column, rank): bounds of the values still possible and how many lie below them.
+    # One entry per (column, rank): open bounds of the values still possible, how many lie below, how many are inside.
     open_ranks, found = {}, {}
     for n in names:
-        count, low, high = (facts[f"{n}_{i}"] for i in range(3))
-        for p in probs if count else []:
-            for rank in {math.floor(p * (count - 1)), math.ceil(p * (count - 1))}:
-                open_ranks[n, rank] = (low, high, 0)
+        for p in probs if counts[n] else []:
+            for rank in {math.floor(p * (counts[n] - 1)), math.ceil(p * (counts[n] - 1))}:
+                open_ranks[n, rank] = (None, None, 0, counts[n])
     while open_ranks:
-        for key, (low, high, _) in list(open_ranks.items()):
-            if low == high:
-                found[key] = low
-                del open_ranks[key]
-        if not open_ranks:
-            break
-        spans = sorted({(n, low, high) for (n, _), (low, high, _) in open_ranks.items()})
-        binned = values.select(F.explode(F.array(*[
-            F.when(F.col(n).between(low, high), F.struct(
-                F.lit(i).alias("span"),
-                F.least(F.floor((F.col(n) - low) / (high - low) * bins), F.lit(bins - 1)).alias("bin"),
-                F.col(n).alias("value")))
-            for i, (n, low, high) in enumerate(spans)])).alias("b")).filter("b is not null").select("b.*")
-        counted = (binned.groupBy("span", "bin")
-                   .agg(F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
-                   .orderBy("span", "bin").collect())
-        for key, (low, high, below) in list(open_ranks.items()):
-            span = spans.index((key[0], low, high))
-            for b in counted:
-                if b["span"] != span:
-                    continue
-                if below + b["n"] > key[1]:
-                    open_ranks[key] = (b["low"], b["high"], below)
-                    break
-                below += b["n"]
+        keys = list(open_ranks)
+        asked = []
+        for i, key in enumerate(keys):
+            low, high, below, inside = open_ranks[key]
+            at, slack = (key[1] - below + 0.5) / inside, 2.0 / accuracy
+            around = F.array(*[F.lit(min(1.0, max(0.0, at + d))) for d in (-slack, slack)])
+            asked.append(F.percentile_approx(_inside(key[0], low, high), around, accuracy).alias(f"q{i}"))
+        pairs = values.agg(*asked).first()
+        tallies = []
+        for i, key in enumerate(keys):
+            x = _inside(key[0], *open_ranks[key][:2])
+            a, b = (F.lit(float(v)) for v in pairs[i])
+            tallies += [F.count_if(x < a), F.count_if(x == a), F.count_if((x > a) & (x < b)), F.count_if(x == b)]
+        tally = values.agg(*[t.alias(f"t{i}") for i, t in enumerate(tallies)]).first()
+        for i, key in enumerate(keys):
+            low, high, below, inside = open_ranks.pop(key)
+            (a, b), (less, at_a, between, at_b) = pairs[i], tally[4 * i:4 * i + 4]
+            rank = key[1] - below
+            if rank < less:
+                open_ranks[key] = (low, a, below, less)
+            elif rank < less + at_a:
+                found[key] = a
+            elif rank < less + at_a + between:
+                open_ranks[key] = (a, b, below + less + at_a, between)
+            elif a != b and rank < less + at_a + between + at_b:
+                found[key] = b
+            else:
+                past = less + at_a + between + (at_b if a != b else 0)
+                open_ranks[key] = (b, high, below + past, inside - past)
 
     def interpolated(n: str, p: float) -> float | None:
-        count = facts[f"{n}_0"]
-        if not count:
+        if not counts[n]:
             return None
-        position = p * (count - 1)
+        position = p * (counts[n] - 1)
         low, high = found[n, math.floor(position)], found[n, math.ceil(position)]
-        return low + (high - low) * (position - math.floor(position))
+        share = position - math.floor(position)
+        if low == high or not share:
+            return low
+        apart = high - low
+        return low + apart * share if math.isfinite(apart) or not math.isfinite(low + high) else low * (1 - share) + high * share
 
     return {n: [interpolated(n, p) for p in probs] for n in names}
+
+
+def _inside(name: str, low: float | None, high: float | None) -> Column:
+    """The value where it lies strictly between the bounds, else null."""
+    x = F.col(name)
+    fits = F.lit(True)
+    if low is not None:
+        fits = fits & (x > F.lit(float(low)))
+    if high is not None:
+        fits = fits & (x < F.lit(float(high)))
+    return F.when(fits, x)

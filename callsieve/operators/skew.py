@@ -36,6 +36,18 @@ def hot_rows(df: DataFrame, key: str, row_id: str, threshold: int = 1000, salts:
     return salted.join(hot, [key, "_salt"], "left_semi").drop("_salt")
 
 
+def sums() -> list[Column]:
+    """The measures of a group of calls."""
+    return [F.count("*").alias("call_count"), F.count_if("reported_as_scam").alias("scam_reports"),
+            F.sum("call_duration_sec").alias("total_duration"), F.count_if("is_voip").alias("voip_count"),
+            F.sum(F.when(F.col("reported_as_scam"), F.col("weight")).otherwise(0.0)).alias("weighted_scam_score")]
+
+
+def number_sums(df: DataFrame) -> DataFrame:
+    """Sums per number. They are combined before the shuffle, so a hot number sends one row per task and needs no salt."""
+    return df.groupBy("phone_number").agg(*sums())
+
+
 def salted_partial(df: DataFrame, threshold: int = 1000, salts: int = 32) -> DataFrame:
     """Partial sums per (number, salt); only hot numbers get a salt, the rest have null.
 
@@ -43,19 +55,19 @@ def salted_partial(df: DataFrame, threshold: int = 1000, salts: int = 32) -> Dat
     hot test is then a window over at most ``salts`` rows per number, instead of a join back to the calls;
     its partitioning by number also serves the two aggregations that follow.
     """
-    by_salt = df.groupBy("phone_number", bucket_of(F.col("call_id").cast("string"), salts).alias("salt")).agg(
-        F.count("*").alias("call_count"),
-        F.count_if("reported_as_scam").alias("scam_reports"),
-        F.sum("call_duration_sec").alias("total_duration"),
-        F.count_if("is_voip").alias("voip_count"),
-        F.sum(F.when(F.col("reported_as_scam"), F.col("weight")).otherwise(0.0)).alias("weighted_scam_score"))
+    by_salt = df.groupBy("phone_number", bucket_of(F.col("call_id").cast("string"), salts).alias("salt")).agg(*sums())
     of_number = F.sum("call_count").over(Window.partitionBy("phone_number"))
     flagged = by_salt.withColumn("_total", of_number).withColumn("salt", F.when(F.col("_total") >= threshold, F.col("salt")))
     return flagged.groupBy("phone_number", "salt").agg(*[F.sum(m).alias(m) for m in MEASURES])
 
 
-def number_risk(partials: DataFrame) -> DataFrame:
-    merged = partials.groupBy("phone_number").agg(*[F.sum(m).alias(m) for m in MEASURES])
+def merged(partials: DataFrame) -> DataFrame:
+    """Salted partial sums as sums per number."""
+    return partials.groupBy("phone_number").agg(*[F.sum(m).alias(m) for m in MEASURES])
+
+
+def number_risk(merged: DataFrame) -> DataFrame:
+    """Rates and risk tier from sums per number."""
     rate, voip = F.col("scam_reports") / F.col("call_count"), F.col("voip_count") / F.col("call_count")
     return merged.select(
         "phone_number", *MEASURES, rate.alias("scam_rate"),
@@ -72,7 +84,7 @@ def strip_salt(key: Column) -> Column:
 
 
 def partition_load(partials: DataFrame, partitions: int = 32) -> DataFrame:
-    """Rows that each of ``partitions`` md5 buckets receives after salting."""
+    """Rows per md5 bucket of the salted key, the documented partition id of a record."""
     key = salted_key(F.col("phone_number"), F.col("salt"))
     return partials.groupBy(bucket_of(key, partitions).alias("partition_id")).agg(
         F.sum("call_count").alias("records"))
@@ -92,7 +104,7 @@ def skew_report(df: DataFrame, threshold: int = 1000, salts: int = 32, partition
 
 
 def etl_summary(df: DataFrame, threshold: int = 1000) -> DataFrame:
-    per_key = number_risk(salted_partial(df, threshold))
+    per_key = number_risk(number_sums(df))
     level = F.col("risk_level")
     n = F.col("call_count")
     return per_key.agg(

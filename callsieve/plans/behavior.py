@@ -61,3 +61,21 @@ def behavior_features_31(spark, sf):
     reports = calls.filter("reported_as_scam")
     table = ops.behavior_features(calls, reports)
     return table.select("phone_number", "primary_country", *[F.round(n, 6).alias(n) for n in ops.FEATURES])
+
+
+# The documented order of the vector, written down apart from the operator.
+ORDER = """
+calls_per_hour_avg calls_per_hour_max peak_hour night_call_ratio burst_count_5min avg_time_between_calls_sec
+call_regularity_std weekend_ratio avg_duration_sec max_duration_sec min_duration_sec short_call_ratio duration_std
+unique_countries cross_border_ratio country_entropy high_risk_country_ratio voip_ratio unique_devices
+device_switch_count sms_to_call_ratio unique_callees reciprocity_ratio fan_out_ratio repeat_callee_ratio
+max_calls_to_single total_reports weighted_report_score report_density_per_day unique_reporters category_diversity""".split()
+
+
+@query("behavior_vector_31", over("calls", "select phone_number, u.* from f, unnest([" + ", ".join(
+    f"{{'position': {i}, 'name': '{n}', 'value': {n}}}" for i, n in enumerate(ORDER, 1)) + "]) t(u)",
+    f=f"select phone_number, {COLUMNS} from ({BASE}) {JOINS}"))
+def behavior_vector_31(spark, sf):
+    calls = views.calls(spark, sf)
+    table = ops.behavior_features(calls, calls.filter("reported_as_scam"))
+    return ops.vector_positions(table).withColumn("value", F.round("value", 6))

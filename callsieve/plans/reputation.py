@@ -218,7 +218,7 @@ def report_decisions(spark, sf):
 
 def number_scores(spark, sf):
     """A probability per number from its call record."""
-    risk = skew.number_risk(skew.salted_partial(views.calls(spark, sf)))
+    risk = skew.number_risk(skew.number_sums(views.calls(spark, sf)))
     proba = F.round(F.least(F.lit(1.0), F.col("scam_rate") + 0.1 * F.col("voip_ratio")), 9)
     return risk.select("phone_number", proba.alias("spam_proba"), "call_count")
 
@@ -229,10 +229,10 @@ select phone_number, count(*) as call_count, round(least(1.0, count(*) filter (r
 
 
 @query("high_conf_top5", over("calls", """
-select phone_number, round(spam_proba, 6) as spam_proba, call_count from n where spam_proba >= 0.3
+select phone_number, round(spam_proba, 6) as spam_proba, call_count from n where spam_proba >= 0.8
 order by n.spam_proba desc, phone_number limit 5""", n=NUMBER_SCORES))
 def high_conf_top5(spark, sf):
-    return rounded(ops.high_confidence(number_scores(spark, sf), 0.3))
+    return rounded(ops.high_confidence(number_scores(spark, sf)))
 
 
 @query("score_lookup", over("calls complaints", f"""
@@ -255,7 +255,7 @@ CATEGORIES = ["investment", "customs", "romance", "impersonation"]
 
 @query("model_driven_reports")
 def model_driven_reports(spark, sf):
-    top = ops.high_confidence(number_scores(spark, sf), 0.3)
+    top = ops.high_confidence(number_scores(spark, sf))
     last = views.validations(spark, sf).agg(F.max("t").alias("t"), F.max("seq").alias("s"))
     sent = top.select("phone_number", F.posexplode(F.array(*[F.lit(r).cast("long") for r in REPORTERS])).alias("i", "user_id"))
     reports = sent.select(

@@ -73,7 +73,7 @@ select phone_number, call_count, scam_reports, total_duration, voip_count, weigh
   round(scam_rate, 6) as scam_rate, round(avg_duration, 6) as avg_duration, round(voip_ratio, 6) as voip_ratio,
   risk_level from ({RISK})"""))
 def number_risk(spark, sf):
-    risk = skew.number_risk(skew.salted_partial(views.calls(spark, sf)))
+    risk = skew.number_risk(skew.number_sums(views.calls(spark, sf)))
     for name in ("weighted_scam_score", "scam_rate", "avg_duration", "voip_ratio"):
         risk = risk.withColumn(name, F.round(name, 6))
     return risk
@@ -81,7 +81,7 @@ def number_risk(spark, sf):
 
 @query("risk_distribution", over("calls", f"select risk_level, count(*) as numbers from ({RISK}) group by 1"))
 def risk_distribution(spark, sf):
-    risk = skew.number_risk(skew.salted_partial(views.calls(spark, sf)))
+    risk = skew.number_risk(skew.number_sums(views.calls(spark, sf)))
     return risk.groupBy("risk_level").agg(F.count("*").alias("numbers"))
 
 

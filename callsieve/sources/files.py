@@ -59,5 +59,7 @@ def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
     """A parquet table, or None where there is none."""
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None

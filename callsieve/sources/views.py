@@ -13,21 +13,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal out the rows of a scan that has fewer partitions than there are cores.
-
-    A table of one small file is read by one task, which then does all further work of the stage alone. A
-    large table has more scan partitions than cores and is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "events").selectExpr(
+    return table(spark, sf_dir, "events").selectExpr(
         "event_id", "cast(ts as timestamp) as ts", "user_id", "event_type", "value",
         # A pattern is cheaper than a JSON parse here: filters on derived columns repeat it before the scan.
-        "try_cast(regexp_extract(props, '\"k\": ?([0-9]+)', 1) as bigint) as k"))
+        "try_cast(regexp_extract(props, '\"k\": ?([0-9]+)', 1) as bigint) as k")
 
 
 def calls(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,29 +27,35 @@ def by_hand(values):
     return kept
 
 
-@pytest.mark.parametrize("whole_rows", [0, 1000])
-def test_write_suppression_compares_with_the_last_written(spark, whole_rows):
+def test_write_suppression_compares_with_the_last_written(spark):
     rows = [(i, "a", i * 4000.0, 9, p) for i, p in enumerate([0.90, 0.905, 0.912, 0.925])]
-    got = live.write_dedup(gated(spark, rows), whole_rows=whole_rows).collect()
+    got = live.write_dedup(gated(spark, rows)).collect()
     assert sorted(r["probability"] for r in got) == [0.90, 0.912, 0.925]
 
 
-@pytest.mark.parametrize("whole_rows", [0, 150, 10_000])
-def test_write_suppression_equals_the_fold(spark, whole_rows):
+@pytest.mark.parametrize("digits", [4, 17])
+@pytest.mark.parametrize("apart", [40, 400])
+def test_write_suppression_equals_the_fold(spark, digits, apart):
     random.seed(11)
     rows, want, i = [], [], 0
-    for phone, n in (("hot", 400), ("b", 100), ("c", 1)):
+    for phone, n in (("hot", 900), ("b", 100), ("c", 1)):
         p, series = 0.7, []
         for j in range(n):
-            p = round(min(0.99, max(0.5, p + random.choice((-0.004, 0.0, 0.003, 0.01)))), 4)
-            rows.append((i, phone, j * 400.0, 9, p))
+            p = round(min(0.99, max(0.5, p + random.choice((-0.004, 0.0, 0.003, 0.01)) * (1 if digits == 4 else random.random()))), digits)
+            rows.append((i, phone, float(j * apart), 9, p))
             series.append((i, p))
             i += 1
         want += by_hand(series)
-    got = live.write_dedup(gated(spark, rows).repartition(4), whole_rows=whole_rows)
+    got = live.write_dedup(gated(spark, rows).repartition(4))
     assert sorted(r["call_id"] for r in got.collect()) == want
 
 
+def test_write_suppression_with_odd_rows(spark):
+    rows = [(1, "a", None, 9, 0.9), (2, "a", 5.0, 9, None), (3, "a", 6.0, 9, 0.9), (4, None, 7.0, 9, 0.8), (5, None, 8.0, 9, 0.7), (6, "a", 9.0, 9, 0.5)]
+    assert sorted(r["call_id"] for r in live.write_dedup(gated(spark, rows)).collect()) == [1, 4, 5, 6]
+    assert live.write_dedup(gated(spark, rows).limit(0)).collect() == []
+
+
 def calls(spark, rows):
     return spark.createDataFrame(rows, "call_id long, phone_number string, s double, caller_country string, is_voip boolean,"
                                        " call_duration_sec long").withColumn("ts", F.timestamp_seconds("s"))

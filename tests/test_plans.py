@@ -38,6 +38,6 @@ def test_filters_reach_the_scan(spark):
 def test_risk_reads_once_and_combines_before_the_first_shuffle(spark):
     text = plan(spark, "number_risk")
     assert text.count("FileScan") == 1 and "Join" not in text
-    assert len(re.findall(r"Exchange hashpartitioning", text)) == 2
+    assert len(re.findall(r"Exchange hashpartitioning", text)) == 1
     # Bottom-up: the partial aggregation sits between the scan and the lowest exchange by number.
     assert text.rindex("partial_count") > text.rindex("Exchange hashpartitioning(phone_number")

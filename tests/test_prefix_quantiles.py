@@ -53,8 +53,27 @@ def test_quantiles_by_narrowing_equal_numpy(spark):
     df = spark.createDataFrame([(float(v), None if i % 2 else float(i)) for i, v in enumerate(values)], "a double, b double")
     probs = [0.0, 0.01, 0.25, 0.5, 0.731, 0.99, 1.0]
     columns = {"a": F.col("a"), "b": F.col("b"), "none": F.lit(None).cast("double")}
-    for limit in (0, 10_000):
-        got = exact_quantiles(df, columns, probs, small_rows=limit, bins=16)
+    for accuracy in (20, 10_000):
+        got = exact_quantiles(df, columns, probs, accuracy=accuracy)
         assert got["a"] == pytest.approx(list(np.quantile(values, probs)))
         assert got["b"] == pytest.approx(list(np.quantile(np.arange(0, len(values), 2), probs)))
         assert got["none"] == [None] * len(probs)
+
+
+@pytest.mark.parametrize("accuracy", [10, 10_000])
+def test_quantiles_with_nan_infinities_and_wide_ranges(spark, accuracy):
+    held = {"nan": [1.0, float("nan"), 2.0, 3.0], "inf": [float("-inf"), 1.0, 2.0, float("inf")], "two": [0.0, 0.0, 1.0, 1.0],
+            "wide": [-1.7e308, 0.0, 5e-324, 1.7e308]}
+    df = spark.createDataFrame(list(zip(*held.values())) * 50, ", ".join(f"{n} double" for n in held))
+    got = exact_quantiles(df, {n: F.col(n) for n in held}, [0.0, 0.5, 1.0], accuracy=accuracy)
+    assert got == {"nan": [1.0, 2.0, 3.0], "inf": [float("-inf"), 1.5, float("inf")], "two": [0.0, 0.5, 1.0],
+                   "wide": [-1.7e308, 0.0, 1.7e308]}
+
+
+def test_null_keys_and_order_values_keep_their_rows(spark):
+    rows = spark.createDataFrame([("a", 1, 5), ("a", None, 7), (None, 2, 1), (None, None, 2), ("a", 3, 1)], "k string, t int, v int")
+    chunk = F.floor(F.col("t") / 2)
+    got = running(rows, ["k"], [F.col("t")], chunk, sums={"s": F.col("v")}, maxes={"m": F.col("v")}).collect()
+    assert sorted((r["k"] or "", r["t"] or 0, r["s"], r["m"]) for r in got) == [("", 0, 2, 2), ("", 2, 3, 2), ("a", 0, 7, 7), ("a", 1, 12, 7), ("a", 3, 13, 7)]
+    got = previous_row(rows, ["k"], ["t"], chunk, ["v"], "p").collect()
+    assert sorted((r["k"] or "", r["t"] or 0, r["p"] and r["p"]["v"]) for r in got) == [("", 0, None), ("", 2, 2), ("a", 0, None), ("a", 1, 7), ("a", 3, 5)]

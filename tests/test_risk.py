@@ -28,10 +28,10 @@ def test_only_keys_at_the_threshold_are_salted(spark):
 
 def test_salted_totals_equal_plain_totals(spark):
     df = calls(spark, {"a": 1500, "b": 7, "x_12": 5})
-    got = skew.number_risk(skew.salted_partial(df)).select("phone_number", "call_count", "scam_reports", "voip_count")
+    got = skew.number_risk(skew.merged(skew.salted_partial(df))).select("phone_number", "call_count", "scam_reports", "voip_count")
     want = df.groupBy("phone_number").agg(F.count("*"), F.count_if("reported_as_scam"), F.count_if("is_voip"))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
-    fewer = skew.number_risk(skew.salted_partial(df, threshold=1, salts=4)).select(*got.columns)
+    fewer = skew.number_risk(skew.merged(skew.salted_partial(df, threshold=1, salts=4))).select(*got.columns)
     assert sorted(got.collect()) == sorted(fewer.collect())
 
 
