@@ -37,12 +37,38 @@ def labelled(spark, sf):
     return rows.join(ops.dbscan(rows, "id", ["x", "y"], EPS, MIN_POINTS), "id")
 
 
-@query("dbscan")
+NEAR = f"""
+select a.id as a, b.id as b from z a join z b on (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= {EPS} * {EPS}"""
+CORE = f"select a as id from near group by a having count(*) >= {MIN_POINTS}"
+LINKS = "select a, b from near where a in (select id from core) and b in (select id from core)"
+#: Smallest core id reachable, one step of all links at a time.
+SPREAD = """
+select 0 as step, id, id as label from core
+union all
+select step + 1, links.a, min(label) from spread join links on links.b = spread.id where step < 150 group by step, links.a"""
+LABELS = "select id, min(label) as label from spread group by id"
+NAMED = "select id, cast(dense_rank() over (order by label) - 1 as integer) as cluster from labels"
+CLUSTERS = """
+select z.id, coalesce(named.cluster, min(o.cluster), -1) as cluster, named.id is not null as is_core
+from z left join named on named.id = z.id left join near on near.a = z.id left join named o on o.id = near.b
+group by z.id, named.id, named.cluster"""
+DENSITY = {"typed": TYPED, "cleaned": CLEANED, "z": Z, "near": NEAR, "core": CORE, "links": LINKS, "spread": SPREAD, "labels": LABELS,
+           "named": NAMED, "clusters": CLUSTERS}
+
+
+@query("dbscan", over("fraud", "select * from clusters", **DENSITY))
 def dbscan(spark, sf):
     return ops.dbscan(scaled(spark, sf), "id", ["x", "y"], EPS, MIN_POINTS)
 
 
-@query("silhouette")
+@query("silhouette", over("fraud", """
+select (select count(*) from p) as points, (select count(distinct cluster) from p) as clusters,
+  round(avg(case when own_rows = 1 then 0 else (b - a) / greatest(a, b) end), 6) as silhouette
+from (select id, any_value(m) as own_rows, max(total) filter (mine) / nullif(max(m) filter (mine) - 1, 0) as a, min(total / n) filter (not mine) as b
+      from (select d.*, sizes.m from d join p using (id) join sizes on sizes.cluster = p.cluster) group by id)""", **DENSITY, p="""
+select id, cluster, x, y from clusters join z using (id) where cluster <> -1""", sizes="select cluster, count(*) as m from p group by 1", d="""
+select p.id, p.cluster = o.cluster as mine, count(*) as n, sum((p.x - o.x) * (p.x - o.x) + (p.y - o.y) * (p.y - o.y)) as total
+from p, p o group by p.id, p.cluster, o.cluster"""))
 def silhouette(spark, sf):
     from ..operators.ml import silhouette as score
 
