@@ -24,7 +24,7 @@ from .common import LOWER, UPPER, pieces_of, written
 from .perfecthash import PerfectHash
 
 STRIPPED = " \t\n\x0b\x0c\r"
-SMALL = str.maketrans(UPPER, LOWER)
+SMALL = bytes.maketrans(UPPER.encode(), LOWER.encode())
 MIN_CHARS, MIN_DOCS, HEAD_PARTS, SHARD_ROWS = 40, 5, 4096, 60_000
 #: The id that stands for null: it sorts below all others.
 NO_ID = -(2 ** 63)
@@ -36,7 +36,7 @@ def line_hashes(text: str | None, min_chars: int) -> tuple[list[str], list[bytes
     hashes: list[bytes | None] = []
     for line in lines:
         key = line.strip(STRIPPED) if len(line) >= min_chars else ""
-        hashes.append(hashlib.blake2b(key.translate(SMALL).encode("utf-8", "surrogatepass"), digest_size=16).digest()
+        hashes.append(hashlib.blake2b(key.encode("utf-8", "surrogatepass").translate(SMALL), digest_size=16).digest()
                       if len(key) >= min_chars else None)
     return lines, hashes
 
