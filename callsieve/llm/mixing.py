@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..operators.prefix import numbered, running
 from .common import SPACE, n_words, pieces_of, written
 
-BLOCK, SHARD_BLOCKS, SLOT_CHUNK = 64, 8192, 50_000
+BLOCK, SHARD_BLOCKS, SLOT_CHUNK, RANK_CHUNK = 64, 8192, 50_000, 1000
 WEIGHTS, MOST_TIMES = (1, 2, 3), 3
 
 
@@ -53,7 +53,7 @@ def placed(docs: DataFrame, columns: list[str] | None = None) -> DataFrame:
     columns = columns or []
     rows = written(docs.select("doc_id", *columns, "source", *_key(F.col("source")), n_words(F.col("text")).alias("size"),
                                F.xxhash64("text").alias("text_hash")))
-    chunk = F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(pieces_of(rows.count(), 4000, 16)))
+    chunk = F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(pieces_of(rows.count(), 1000, 16)))
     return written(running(rows, KEY, [F.col("doc_id"), F.col("text_hash")], chunk, sums={"start": F.col("size")}, before_row=True))
 
 
@@ -71,20 +71,21 @@ def block_times(sources: DataFrame, block: int = BLOCK, shard_blocks: int = SHAR
                 .withColumn(name, F.explode(F.sequence(F.col("part") * SLOT_CHUNK, F.least((F.col("part") + 1) * SLOT_CHUNK, F.col(upto)) - 1)))
                 .drop("part"))
 
-    # Multinomial draws: every slot falls on an output shard.
-    drawn = (numbers("slots", "slot")
+    # Multinomial draws: every slot falls on an output shard. Both tables are written, since the size of rows that an explode has made is
+    # unknown to the planner, which would broadcast them.
+    drawn = written(numbers("slots", "slot")
              .withColumn("shard", F.pmod(F.xxhash64(*KEY, "slot", F.lit(seed)), F.lit(n_shards)))
              .groupBy(*KEY, "blocks", "shard").agg(F.count("*").alias("n")))
     slots = (running(drawn, KEY, [F.col("shard")], F.floor(F.col("shard") / 1000), sums={"first": F.col("n")}, before_row=True)
              .withColumn("index", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)))
              .withColumn("index", F.col("index") % F.col("blocks")))
     # A permutation of each source's blocks: their ranks by a seeded hash.
-    hashed = numbers("blocks", "block").withColumn("_order", F.xxhash64("block", *KEY, F.lit(seed + 1)))
-    n_chunks = pieces_of(total, 20_000, 32)
-    ranked = numbered(hashed, KEY, [F.col("_order"), F.col("block")],
-                      F.floor((F.col("_order") / 2.0 ** 64 + 0.5) * n_chunks), "index").withColumn("index", F.col("index") - 1)
+    hashed = written(numbers("blocks", "block").withColumn("_order", F.xxhash64("block", *KEY, F.lit(seed + 1))))
+    chunk = F.floor((F.col("_order") / 2.0 ** 64 + 0.5) * F.ceil(F.col("blocks") / RANK_CHUNK))
+    ranked = numbered(hashed, KEY, [F.col("_order"), F.col("block")], chunk, "index").withColumn("index", F.col("index") - 1)
     times = slots.groupBy(*KEY, "index").agg(F.count("*").cast("long").alias("times"))
-    return ranked.select(*KEY, "block", "index").join(times, [*KEY, "index"]).select(*KEY, "block", "times")
+    # Both sides have a row per block: not to be broadcast, however well they compress.
+    return ranked.select(*KEY, "block", "index").hint("merge").join(times, [*KEY, "index"]).select(*KEY, "block", "times")
 
 
 def _taken(docs: DataFrame, columns: list[str], block: int) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -96,7 +97,7 @@ def _taken(docs: DataFrame, columns: list[str], block: int) -> tuple[DataFrame,
              .withColumn("block", F.explode(F.sequence(F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("size") - 1) / block))))
              .withColumn("low", F.greatest(F.col("block") * block - F.col("start"), F.lit(0)))
              .withColumn("high", F.least((F.col("block") + 1) * block - F.col("start"), F.col("size"))))
-    parts = parts.join(block_times(sources, block), [*KEY, "block"], "left").withColumn("times", F.coalesce("times", F.lit(0)))
+    parts = parts.hint("merge").join(block_times(sources, block), [*KEY, "block"], "left").withColumn("times", F.coalesce("times", F.lit(0)))
     return rows, sources, parts
 
 
@@ -123,11 +124,13 @@ def mixture(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     between them; documents of which nothing is taken do not occur. See :func:`mixed` for odd input.
     """
     rows, _, parts = _taken(docs, ["text", "lang"], block)
-    spans = F.sort_array(F.collect_list(F.struct("low", "high"))).alias("spans")
     passes = (parts.filter("times > 0").withColumn("pass", F.explode(F.sequence(F.lit(1).cast("long"), "times")))
-              .groupBy("doc_id", *KEY, "start", "size", "pass")
-              .agg(F.sort_array(F.collect_list(F.struct("low", "high"))).alias("spans")))
-    words = F.regexp_extract_all("text", F.lit(f"[{SPACE}]*[^{SPACE}]+"), F.lit(0))
-    joined = passes.join(rows.select("doc_id", *KEY, "start", "size", "text", "lang", "source"), ["doc_id", *KEY, "start", "size"])
-    text = F.concat_ws("", F.flatten(F.transform("spans", lambda s: F.slice(words, (s["low"] + 1).cast("int"), (s["high"] - s["low"]).cast("int")))))
+              .groupBy(*KEY, "start", "pass")
+              .agg(F.sort_array(F.collect_list(F.struct("low", "high"))).alias("spans"), F.sum(F.col("high") - F.col("low")).alias("n_taken")))
+    joined = passes.join(rows.filter("size > 0"), [*KEY, "start"])
+    split = F.array(F.regexp_extract_all("text", F.lit(f"[{SPACE}]*[^{SPACE}]+"), F.lit(0)))
+    # The one-element array binds the words to a variable, so that a text is split once and not once per span.
+    cut = F.transform(split, lambda words: F.flatten(F.transform(
+        "spans", lambda s: F.slice(words, (s["low"] + 1).cast("int"), (s["high"] - s["low"]).cast("int")))))
+    text = F.when(F.col("n_taken") == F.col("size"), F.col("text")).otherwise(F.concat_ws("", cut[0]))
     return joined.select("doc_id", text.alias("text"), "lang", "source").withColumn("n_chars", F.length("text").cast("long"))
