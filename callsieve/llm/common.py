@@ -30,6 +30,12 @@ def shared_folder(spark: SparkSession) -> str:
     return named
 
 
+def small_batches(df: DataFrame, most_bytes: int = 8_000_000) -> DataFrame:
+    """``df``, with the session's Arrow batches kept to ``most_bytes``: batches of long texts would else fill a Python worker's memory."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(most_bytes))
+    return df
+
+
 def written(df: DataFrame, parted_by: str | None = None) -> DataFrame:
     """``df`` as a table in the shared folder, so that neither lost executors nor reuse compute it again.
 

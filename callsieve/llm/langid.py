@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
+
 UNKNOWN = "und"
 DIMS, CLUSTERS, ROUNDS, SLICE = 4096, 6, 8, 1 << 20
 #: Rows that the centroids are fitted on, about, and the share of a centroid's texts that may lie beyond its radius.
@@ -139,7 +141,7 @@ def identified(docs: DataFrame, k: int = CLUSTERS, sample_rows: int = SAMPLE_ROW
     are rejected; so do all texts when nothing could be learned. Whole texts are read; repeated rows are scored
     each; an empty table gives an empty result.
     """
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang", held_out(F.col("doc_id")).alias("held_out"))
+    own = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang", held_out(F.col("doc_id")).alias("held_out"))
     shipped = docs.sparkSession.sparkContext.broadcast(fit(own.filter("not held_out"), k=k, sample_rows=sample_rows))
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, pieces_of, written
+from .common import LOWER, UPPER, pieces_of, small_batches, written
 from .perfecthash import PerfectHash
 
 STRIPPED = " \t\n\x0b\x0c\r"
@@ -105,7 +105,7 @@ def deduplicated(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
     an empty result.
     """
     more = F.struct(*(carried or [F.lit(None).cast("int").alias("nothing")])).alias("_more")
-    own = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), "text", more)
+    own = small_batches(docs).select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), "text", more)
     found = written(_occurrences(own.select("doc", "text"), min_chars))
     counted = written(found.groupBy("a", "b").agg(F.count("*").alias("n"), F.max("doc").alias("largest"))
                       .filter(F.col("n") >= min_docs))

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pieces_of, written
+from .common import pieces_of, small_batches, written
 from .tokens import Ids
 
 LENGTH = 2048
@@ -93,7 +93,7 @@ def tokenised(docs: DataFrame, length: int = LENGTH, closing: int = 0, vocabular
                     out, held = ([], [], [], [], [], []), 0
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, TYPES)], names=NAMES)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
+    return small_batches(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(
         cut, "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary")
 
 

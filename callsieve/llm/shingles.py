@@ -9,7 +9,7 @@ import pyarrow as pa
 
 from .bytehash import BASE, INVERSE, TABLE, mix, powers
 
-WORDS, SLICE = 5, 1 << 21
+WORDS, SLICE = 5, 1 << 20
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 #: Capitals hash as their small letters.
@@ -52,6 +52,16 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
+def slices(batch: pa.RecordBatch, text: int, most_bytes: int = 2_000_000) -> Iterator[pa.RecordBatch]:
+    """``batch`` in runs of rows whose texts have about ``most_bytes`` bytes; a longer text is a run of its own."""
+    _, ends = text_bytes(batch.column(text))
+    at = 0
+    while at < batch.num_rows:
+        to = max(at + 1, int(np.searchsorted(ends, ends[at] + most_bytes, side="right")) - 1)
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def shingle_sets(column: pa.Array) -> Iterator[np.ndarray]:
     """The sorted distinct shingle hashes of each text: five words each, the whole sequence when shorter, none without words."""
     data, offsets = text_bytes(column)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bytehash import Substrings
-from .common import written
+from .common import small_batches, written
 
 LEAST, MOST, CUT_BITS, SPAN_BYTES, SLICE = 16, 256, 4, 120, 1 << 22
 GEAR = np.random.default_rng(7).integers(0, 2 ** 32, 256, dtype=np.uint32)
@@ -84,7 +84,7 @@ def chunks(docs: DataFrame, least: int = LEAST, most: int = MOST, cut_bits: int
                     held = 0
             yield out()
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+    return small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         cut, "doc_id long, start long, length int, digest long")
 
 

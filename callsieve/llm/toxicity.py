@@ -23,12 +23,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
+from .shingles import slices
+
 WORD = re.compile(r"[^\W\d_]+")
 STARTS = (4, 5, 6, 7)
 #: Evidence levels: log-odds from each of these bounds on; below is level 0. Tokens from STRONG on are labelled toxic.
 BOUNDS, STRONG = (1.0, 2.0, 3.0, 4.0, 5.0, 6.0), 3
 LEVELS = len(BOUNDS) + 1
-BLOCK, BATCH_TOKENS, MOST_WORDS = 64, 600_000, 300_000
+BLOCK, BATCH_TOKENS, MOST_WORDS = 64, 400_000, 200_000
 #: Bounds of the sample that evidence is counted on (documents), and of the one that the chain is fitted on.
 EVIDENCE_ROWS, FIT_ROWS, FIT_TOKENS = 12_000, 1500, 3000
 ROUNDS, PRIOR, SURE = 60, 0.5, 0.5
@@ -313,19 +316,21 @@ def tagged(docs: DataFrame, labels: DataFrame) -> DataFrame:
     texts when no label could be learned from. Null ids are kept; repeated rows are scored each; repeated labels of
     a document count as toxic if one is; an empty table gives an empty result. Whole texts are read.
     """
-    learned = labels.filter(~held_out(F.col("doc_id")))
+    learned = small_batches(labels).filter(~held_out(F.col("doc_id")))
     shipped = docs.sparkSession.sparkContext.broadcast(fit(docs, learned))
     columns = "doc_id long, text string, lang string, source string, n_chars long, held_out boolean"
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang", "source", "n_chars",
+    own = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang", "source", "n_chars",
                       held_out(F.col("doc_id")).alias("held_out"))
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
     def tag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tagger = shipped.value
         for batch in batches:
-            scores, spans = tagger.tag(batch.column(1).to_pylist())
-            out = pa.array([[{"start": a, "end": b} for a, b in s] for s in spans], kind)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32()), out],
-                                             names=[*batch.schema.names, "score", "predicted", "spans"])
+            for part in slices(batch, 1):
+                scores, spans = tagger.tag(part.column(1).to_pylist())
+                out = pa.array([[{"start": a, "end": b} for a, b in s] for s in spans], kind)
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32()), out],
+                    names=[*part.schema.names, "score", "predicted", "spans"])
 
     return own.mapInArrow(tag, f"{columns}, score double, predicted int, spans array<struct<start: int, end: int>>")
