@@ -10,12 +10,13 @@ An empty partition says nothing. n is chosen so that nearly every set has fewer
 empty, and empty ones are left out. The few other sets send them too.
 
 A signature that more than ``CROWD`` sets share is crowded, and its sets are not paired. A set with fewer crowded signatures than it is sure to agree on finds all
-its partners by the others. For the rest (large groups of near copies, mostly), all that is missing is what joins components: each set is compared with one
-member of each crowded signature, twice, and only sets of a signature that are still in different components are then paired.
+its partners by the others. For the rest (large groups of near copies, mostly), all that is missing is what joins components: each set is compared with the
+least changed member of each crowded signature. Two sets of a group that are still in different components can only be linked if their
+differences from that member overlap, which a prefix filter over rare elements finds (:func:`_by_differences`).
 
 Equal sets are one node from the start, named by a 64-bit digest. Signatures travel as packed arrays, one per task and bucket, and
-are combined before the shuffle. Only pairs of nodes, never sets, are written; sets are computed again from the texts of
-nodes that have candidates, and every candidate pair is verified exactly.
+are combined before the shuffle. Pairs that agree on fewer signatures than they must are dropped
+by count. Sets are never written or moved: they are computed again where the texts of a candidate pair meet, and every such pair is verified exactly.
 """
 
 from __future__ import annotations
@@ -26,16 +27,16 @@ from math import sqrt
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bytehash import mix
-from .common import pieces_of, written
-from .shingles import shingle_sets
+from .common import pieces_of, small_batches, written
+from .shingles import shingle_sets, slices
 
 #: Linked: 100 * intersection >= PERCENT * union.
 PERCENT, CROWD, SMALL_K = 80, 8, 3
-BUCKET_SIGNATURES, CENTRE_ROWS, FILTER_BITS = 1_500_000, 1000, 1 << 23
+BUCKET_SIGNATURES, FLUSH_SHINGLES, CENTRE_ROWS, FILTER_BITS = 800_000, 500_000, 300, 1 << 23
 NODE, PAIR, OTHER, INCIDENCE = 0, 1, 2, 3
 FOUND = "kind int, x long, y long, z long, w int"
 BLOB = "bucket long, kind int, held binary"
@@ -182,8 +183,7 @@ def _emit(n_buckets: int, bands: Bands):
 
         sets, names, docs, seen, held = [], [], [], set(), 0
         for batch in batches:
-            for start in range(0, batch.num_rows, 500):
-                part = batch.slice(start, 500)
+            for part in slices(batch, 1):
                 for doc, s in zip(part.column(0).to_pylist(), shingle_sets(part.column(1))):
                     node = digest(s) if len(s) else 0
                     docs.append((doc, len(s), node))
@@ -192,7 +192,7 @@ def _emit(n_buckets: int, bands: Bands):
                         sets.append(s)
                         names.append(node)
                         held += len(s)
-                if held > 3_000_000 or len(docs) > 200_000:
+                if held > FLUSH_SHINGLES or len(docs) > 100_000:
                     yield out(sets, names, docs)
                     sets, names, docs, seen, held = [], [], [], set(), 0
         if docs:
@@ -201,6 +201,15 @@ def _emit(n_buckets: int, bands: Bands):
     return blobs
 
 
+def _counted(a: np.ndarray, inst: np.ndarray, sure_a: np.ndarray, b: np.ndarray, sure_b: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Each pair of nodes once per instance: a, b, instance and number of signatures, and how many each is sure to agree on."""
+    order = np.lexsort((inst, b, a))
+    a, b, inst, sure_a, sure_b = (x[order] for x in (a, b, inst, sure_a, sure_b))
+    opens = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (inst[1:] != inst[:-1])])) if len(a) else np.zeros(0, np.int64)
+    times = np.diff(np.concatenate([opens, [len(a)]]))
+    return (a[opens], b[opens], (inst[opens].astype(np.int64) << 32) | times, (sure_a[opens].astype(np.int64) << 16) | sure_b[opens].astype(np.int64))
+
+
 def _meet(key: tuple, rows: pa.Table) -> pa.Table:
     """What a bucket finds: pairs of nodes under uncrowded signatures, members of crowded ones, and the documents that pass through."""
     found: list[tuple[int, tuple]] = []
@@ -235,10 +244,9 @@ def _meet(key: tuple, rows: pa.Table) -> pa.Table:
         crowded = np.repeat(size > CROWD, size)
         found.append((INCIDENCE, ((key[0].as_py() << 32) | sig[crowded].astype(np.int64), node[crowded], inst[crowded].astype(np.int64), sure[crowded])))
         for n in range(2, CROWD + 1):
-            members = node[edge[size == n][:, None] + np.arange(n)]
+            members = edge[size == n][:, None] + np.arange(n)
             for i, j in combinations(range(n), 2):
-                both = np.unique(members[:, [i, j]], axis=0)
-                found.append((PAIR if i == 0 else OTHER, (both[:, 0], both[:, 1], np.zeros(len(both), np.int64), np.zeros(len(both), np.int64))))
+                found.append((PAIR if i == 0 else OTHER, _counted(*(x[members[:, i]] for x in (node, inst, sure)), *(x[members[:, j]] for x in (node, sure)))))
     if not found:
         return pa.table([pa.array([], t) for t in (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32())], names=["kind", "x", "y", "z", "w"])
     columns = [np.concatenate([f[1][c] for f in found]) for c in range(4)]
@@ -267,49 +275,77 @@ def _filter_words(nodes: DataFrame) -> np.ndarray:
     return words
 
 
-def _verified(docs: DataFrame, firsts: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """The linked ones of ``pairs`` (a, b) of nodes. ``firsts``: a document of each node (node, doc_id)."""
-    pairs = written(pairs.select("a", "b").distinct())
-    needed = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    words = docs.sparkSession.sparkContext.broadcast(_filter_words(firsts.join(needed, "node")))
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.column(2).to_numpy()
-            marked = batch.filter(pa.array((words.value[at // 64] >> (at % 64)) & 1 == 1))
-            for start in range(0, marked.num_rows, 500):
-                part = marked.slice(start, 500)
-                own = [s for s in shingle_sets(part.column(1))]
-                full = [s for s in own if len(s)]
-                yield pa.RecordBatch.from_arrays([pa.array([digest(s) for s in full], pa.int64()), pa.array([s.tobytes() for s in full], pa.binary())],
-                                                 names=["node", "held"])
+def _compared(docs: DataFrame, firsts: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """Whether the nodes of ``pairs`` (a, b, wanted) are linked: a, b, linked, n_a, n_b and, where wanted, the elements of one set only.
 
-    bit = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
-    held = docs.filter("doc_id is not null").select("doc_id", "text", bit.alias("bit")).mapInArrow(sets, "node long, held binary")
+    ``firsts``: a document of each node (node, doc_id).
+    """
+    pairs = written(pairs.groupBy("a", "b").agg(F.max("wanted").alias("wanted")))
     # Pairs meet at their first node; a node with many partners is dealt over several places.
     centres = pairs.groupBy("a").agg(F.count("*").alias("n")).withColumn("places", F.ceil(F.col("n") / CENTRE_ROWS).cast("long"))
     leads = centres.select(F.col("a").alias("node"), "a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("places") - 1)).alias("place"), F.lit(0).alias("role"))
-    others = pairs.join(centres, "a").select(F.col("b").alias("node"), "a", F.pmod(F.xxhash64("b"), F.col("places")).alias("place"), F.lit(1).alias("role"))
-    routed = held.join(written(leads.union(others)), "node").repartition("a", "place").sortWithinPartitions("a", "place", "role")
+    others = pairs.join(centres, "a").select(F.col("b").alias("node"), "a", F.pmod(F.xxhash64("b"), F.col("places")).alias("place"),
+                                             F.when(F.col("wanted"), 2).otherwise(1).alias("role"))
+    routes = written(leads.union(others).join(firsts, "node"))
+    words = docs.sparkSession.sparkContext.broadcast(_filter_words(routes))
+
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.column(2).to_numpy()
+            yield batch.filter(pa.array((words.value[at // 64] >> (at % 64)) & 1 == 1)).select([0, 1])
 
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, lead = None, np.zeros(0, np.uint64)
         for batch in batches:
-            a, b = [], []
-            for node, centre, role, blob in zip(*(batch.column(c).to_pylist() for c in range(4))):
-                own = np.frombuffer(blob, np.uint64)
-                if role == 0:
-                    name, lead = centre, own
-                elif name == centre:
-                    few, many = (own, lead) if len(own) < len(lead) else (lead, own)
-                    at = np.minimum(np.searchsorted(many, few), len(many) - 1)
-                    both = int(np.count_nonzero(many[at] == few))
-                    if 100 * both >= percent * (len(own) + len(lead) - both):
-                        a.append(centre)
-                        b.append(node)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-
-    return routed.select("node", "a", "role", "held").mapInArrow(verify, "a long, b long").distinct()
+            for part in slices(batch, 3):
+                out: list[tuple] = []
+                for node, centre, role, own in zip(*(part.column(c).to_pylist() for c in range(3)), shingle_sets(part.column(3))):
+                    if role == 0:
+                        name, lead = centre, own
+                    elif name == centre:
+                        few, many = (own, lead) if len(own) < len(lead) else (lead, own)
+                        at = np.minimum(np.searchsorted(many, few), len(many) - 1)
+                        both = int(np.count_nonzero(many[at] == few))
+                        linked = 100 * both >= percent * (len(own) + len(lead) - both)
+                        apart = np.setxor1d(own, lead, assume_unique=True).view(np.int64) if role == 2 else None
+                        out.append((centre, node, linked, len(lead), len(own), apart))
+                columns = list(zip(*out)) or [()] * 6
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.list_(pa.int64())))],
+                    names=["a", "b", "linked", "n_a", "n_b", "apart"])
+
+    bit = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
+    held = docs.filter("doc_id is not null").select("doc_id", "text", bit.alias("bit")).mapInArrow(marked, "doc_id long, text string")
+    routed = held.join(routes, "doc_id").repartition("a", "place").sortWithinPartitions("a", "place", "role")
+    # A document that only looks marked can bring a node twice.
+    return written(routed.select("node", "a", "role", "text").mapInArrow(
+        compare, "a long, b long, linked boolean, n_a long, n_b long, apart array<bigint>"))
+
+
+def _by_differences(spokes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of sets compared with one lead that may be linked though their labels differ.
+
+    x and y differ in as many elements as their differences X and Y from the lead P do. If they are linked, these share at least
+    o = (|X| + |Y| - k) / 2 elements, k being the most that x and y may differ in. With the elements of each ordered from rare to frequent, the
+    first |X| - o + 1 of X and |Y| - o + 1 of Y then have one in common. o is positive unless both are linked with P. The smaller of
+    the two sends no more elements than its largest prefix for any larger partner, which are mostly elements of its own.
+    """
+    share = F.lit((100 - percent) / (100 + percent))
+    rows = written(spokes.select("a", "b", "label", "linked", "n_a", "n_b", F.size("apart").alias("d"), F.explode("apart").alias("e")))
+    often = rows.groupBy("a", "e").agg(F.count("*").alias("often")).filter("often > 1")
+    place = F.row_number().over(Window.partitionBy("a", "b").orderBy(F.coalesce("often", F.lit(1)), "e")) - 1
+    placed = rows.join(often, ["a", "e"], "left").withColumn("place", place).filter("often > 1")
+    # Least size of a larger partner's difference: its own, and if it is linked with P, what keeps the partner from being linked.
+    least = F.greatest(F.col("d"), F.when(F.col("linked"), F.floor(F.col("n_a") * (2 * share / (1 + share))) + 1).otherwise(0))
+    overlap = F.greatest(F.lit(1), F.ceil((least * (1 - share) - (F.col("n_a") + F.col("n_b")) * share + F.col("d")) / 2 - 1e-6))
+    columns = ["b", "label", "n_b", "d", "place"]
+    large = written(placed.select("a", "e", *columns))
+    small = written(placed.filter(F.col("place") <= F.col("d") - overlap).select("a", "e", *[F.col(c).alias(f"s_{c}") for c in columns]))
+    needed = F.ceil((F.col("d") + F.col("s_d") - F.floor((F.col("n_b") + F.col("s_n_b")) * share + 1e-6)) / 2)
+    return (small.join(large, ["a", "e"])
+            .filter((F.struct("s_d", "s_b") < F.struct("d", "b")) & (F.col("label") != F.col("s_label"))
+                    & (F.col("s_place") <= F.col("s_d") - needed) & (F.col("place") <= F.col("d") - needed))
+            .select(F.col("s_b").alias("a"), F.col("b")).distinct())
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -335,40 +371,45 @@ def joined(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     equal sets and are linked. Rows with a null id are linked as any other; they do not give a component its id, and one in a
     component of null ids alone gets null. An empty table gives an empty result.
     """
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    own = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = _candidates(own, percent)
     rows = found.filter(f"kind = {NODE}").select(F.expr("case when w = 1 then x end").alias("doc_id"), F.col("y").alias("n_shingles"), F.col("z").alias("node"))
     firsts = written(rows.filter("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id")))
-    pairs = written(found.filter(f"kind in ({PAIR}, {OTHER})").groupBy(F.col("x").alias("a"), F.col("y").alias("b")).agg(F.min("kind").alias("kind")))
-    # Members of crowded signatures matter for sets that have as many of those as they are sure to agree on.
     members = found.filter(f"kind = {INCIDENCE}").select(F.col("x").alias("sig"), F.col("y").alias("node"), F.col("z").alias("inst"), F.col("w").alias("sure")).distinct()
     members = written(members)
-    hidden = members.groupBy("node", "inst").agg(F.count("*").alias("n"), F.min("sure").alias("sure")).filter("n >= sure").select("node", "inst")
-    members = written(members.join(hidden, ["node", "inst"]).select("sig", "node").distinct())
-
-    def star(order: str, labelled: DataFrame) -> DataFrame:
-        """Each member with one member of its signature that is in another component."""
-        lead = labelled.groupBy("sig").agg(F.min_by(F.struct("node", "label"), F.expr(order)).alias("lead"))
-        return labelled.join(written(lead), "sig").filter("label <> lead.label").select(F.col("lead.node").alias("a"), F.col("node").alias("b"))
+    hidden = written(members.groupBy("node", "inst").agg(F.count("*").alias("n"), F.min("sure").alias("sure")))
+    # Linked sets agree on as many signatures as each is sure of, less its crowded ones.
+    agreeing = (found.filter(f"kind in ({PAIR}, {OTHER})")
+                .groupBy(F.col("x").alias("a"), F.col("y").alias("b"), F.shiftright("z", 32).alias("inst"))
+                .agg(F.min("kind").alias("kind"), F.sum(F.col("z").bitwiseAND(F.lit(0xFFFFFFFF))).alias("times"), F.max("w").alias("w"))
+                .withColumns({"sure_a": F.shiftright("w", 16), "sure_b": F.col("w").bitwiseAND(F.lit(0xFFFF))}))
+    for side in ("a", "b"):
+        agreeing = (agreeing.join(hidden.select(F.col("node").alias(side), "inst", F.col("n").alias("n_crowded")), [side, "inst"], "left")
+                    .filter(F.col("times") >= F.col(f"sure_{side}") - F.coalesce("n_crowded", F.lit(0))).drop("n_crowded"))
+    pairs = written(agreeing.groupBy("a", "b").agg(F.min("kind").alias("kind")))
+    # Members of crowded signatures matter for sets that have as many of those as they are sure to agree on.
+    members = written(members.join(hidden.filter("n >= sure").select("node", "inst"), ["node", "inst"]).select("sig", "node").distinct())
 
     def labelled(rows: DataFrame, labels: DataFrame, name: str, to: str) -> DataFrame:
         return rows.join(labels.select(F.col("node").alias(name), F.col("label").alias("_label")), name, "left").withColumn(
             to, F.coalesce("_label", name)).drop("_label")
 
-    begin = members.withColumn("label", F.col("node"))
-    links = written(_verified(own, firsts, pairs.filter(f"kind = {PAIR}").select("a", "b").union(star("node", begin)), percent))
+    # The member with most crowded signatures is the least changed one of its group, and so near to most.
+    strength = members.groupBy("node").agg(F.count("*").alias("strength"))
+    leads = members.join(strength, "node").groupBy("sig").agg(F.max_by("node", F.struct("strength", "node")).alias("lead"))
+    spokes = members.join(written(leads), "sig").filter("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b"), F.lit(True).alias("wanted"))
+    firm = pairs.filter(f"kind = {PAIR}").select("a", "b", F.lit(False).alias("wanted"))
+    compared = _compared(own, firsts, firm.union(spokes), percent)
+    links = compared.filter("linked").select("a", "b")
     labels = components(links)
-    again = star("xxhash64(node, 2)", labelled(members, labels, "node", "label"))
     rest = labelled(labelled(pairs.filter(f"kind = {OTHER}"), labels, "a", "la"), labels, "b", "lb").filter("la <> lb").select("a", "b")
-    links = written(links.union(_verified(own, firsts, rest.union(again), percent)))
+    # Only groups with a member outside their lead's component can still miss a link.
+    spoke = compared.filter("apart is not null")
+    mixed = labelled(labelled(spoke.select("a", "b"), labels, "b", "lb"), labels, "a", "la").filter("la <> lb").select("a").distinct()
+    apart = labelled(spoke.join(written(mixed), "a", "left_semi").dropDuplicates(["a", "b"]), labels, "b", "label")
+    more = rest.union(_by_differences(apart, percent)).withColumn("wanted", F.lit(False))
+    links = links.union(_compared(own, firsts, more, percent).filter("linked").select("a", "b"))
     labels = components(links)
-    # What crowded signatures still leave apart is compared whole.
-    apart = written(labelled(members, labels, "node", "label"))
-    mixed = written(apart.groupBy("sig").agg((F.min("label") < F.max("label")).alias("mixed")).filter("mixed").select("sig"))
-    left = apart.join(mixed, "sig")
-    cross = left.alias("l").join(left.alias("r"), F.expr("l.sig = r.sig and l.label < r.label")).select(F.col("l.node").alias("a"), F.col("r.node").alias("b"))
-    links = links.union(_verified(own, firsts, cross, percent))
-    labels = components(written(links))
     named = labelled(firsts, labels, "node", "label")
     ids = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     names = written(named.join(ids, "label").select("node", "component_id"))
