@@ -8,15 +8,17 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import ClusteringEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import PCA, SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
@@ -24,6 +26,16 @@ from . import dataset, evaluation, neighbors, sampling
 
 Fit = Callable[[DataFrame, list[str]], PipelineModel]
 
+#: Fits that run side by side, and the shares of the three-way split.
+TOGETHER = 6
+THREE_WAYS = [("train", 0.64), ("val", 0.16), ("test", 0.2)]
+
+
+def side_by_side(spark, job: Callable, given: list) -> list:
+    """``job`` of each of ``given``, in their order; the Spark jobs of several run at once."""
+    with ThreadPool(max(1, min(TOGETHER, len(given)))) as pool:
+        return pool.map(inheritable_thread_target(spark)(job), given, chunksize=1)
+
 
 def assembled(features: list[str], scale: bool) -> list:
     stages = [VectorAssembler(inputCols=features, outputCol="raw_features" if scale else "features")]
@@ -141,18 +153,22 @@ def cross_validate(rows: DataFrame, features: list[str], fit: Fit, k: int = 5) -
 def grid_search(rows: DataFrame, features: list[str], regs: list[float], gammas: list[float | None], k: int = 3,
                 size: int = 32, iterations: int = 20) -> DataFrame:
     """Mean fold F1 of the RBF SVM for every setting; folds are the stratified ones."""
+    spark = rows.sparkSession
     train = cut_lineage(weighted(sampling.stratified_folds(rows, "label", "row_id", k)))
-    statements = [fourier_statement(train, features, g, size) for g in gammas]
-    stages = svm_stages(statements[0], size, regs[0], iterations)
-    grid = ParamGridBuilder().addGrid(stages[0].statement, statements).addGrid(stages[2].regParam, regs).build()
     judge = MulticlassClassificationEvaluator(labelCol="label", metricName="fMeasureByLabel", metricLabel=1.0)
-    search = CrossValidator(estimator=Pipeline(stages=stages), estimatorParamMaps=grid, evaluator=judge, numFolds=k,
-                            foldCol="fold", parallelism=4)
-    found = search.fit(train).avgMetrics
-    settings = [(float(gammas[statements.index(p[stages[0].statement])] or 1.0 / len(features)), float(p[stages[2].regParam]), float(m))
-                for p, m in zip(grid, found)]
+
+    def folds(gamma: float | None) -> list[float]:
+        # The Fourier features of a width are the same for all folds and penalties: they are written once.
+        *waves, svm, platt = svm_stages(fourier_statement(train, features, gamma, size), size, regs[0], iterations)
+        table = cut_lineage(Pipeline(stages=waves).fit(train).transform(train).select("label", "weight", "fold", "features"))
+        search = CrossValidator(estimator=Pipeline(stages=[svm, platt]), estimatorParamMaps=ParamGridBuilder().addGrid(svm.regParam, regs).build(),
+                                evaluator=judge, numFolds=k, foldCol="fold", parallelism=len(regs))
+        return search.fit(table).avgMetrics
+
+    found = side_by_side(spark, folds, gammas)
+    settings = [(float(g or 1.0 / len(features)), float(reg), float(m)) for g, means in zip(gammas, found) for reg, m in zip(regs, means)]
     best = max(m for _, _, m in settings)
-    return rows.sparkSession.createDataFrame(settings, "gamma double, reg double, mean_f1 double").withColumn(
+    return spark.createDataFrame(settings, "gamma double, reg double, mean_f1 double").withColumn(
         "is_best", F.col("mean_f1") == best)
 
 
@@ -184,18 +200,26 @@ def refinement_report(rows: DataFrame, features: list[str], fit: Fit) -> DataFra
     flagged = dataset.label_quality_flags(label_quality(train, features))
     cleaned = dataset.remove_noisy(train, flagged, "row_id")
     steps = {"baseline": train, "smote": oversampled(train, features), "refined": oversampled(cleaned, features)}
-    parts = [evaluation.metrics(score(fit(data, features), test)).select(
-        F.lit(name).alias("step"), "f1", F.lit(data.count()).alias("train_rows")) for name, data in steps.items()]
-    base = parts[0].select("f1").scalar()
-    return stacked(parts).withColumn("lift", F.col("f1") - base)
+
+    def report(name: str) -> Row:
+        data = steps[name]
+        return evaluation.metrics(score(fit(data, features), test)).select(F.lit(name).alias("step"), "f1", F.lit(data.count()).alias("train_rows")).first()
+
+    found = side_by_side(rows.sparkSession, report, list(steps))
+    table = rows.sparkSession.createDataFrame(found, "step string, f1 double, train_rows long")
+    return table.withColumn("lift", F.col("f1") - F.lit(found[0]["f1"]))
+
+
+def tuned(parts: dict[str, DataFrame], features: list[str], fit: Fit) -> tuple[DataFrame, float]:
+    """Scored test rows, and the threshold with the best F1 on validation, of a model fitted on train."""
+    model = fit(parts["train"], features)
+    return score(model, parts["test"]), evaluation.f1_threshold(score(model, parts["val"])).first()["threshold"]
 
 
 def validated_figures(rows: DataFrame, features: list[str], fit: Fit) -> DataFrame:
     """Three-way split: fit on train, choose the F1 threshold on validation, report on test."""
-    parts = split(rows, [("train", 0.64), ("val", 0.16), ("test", 0.2)])
-    model = fit(parts["train"], features)
-    threshold = evaluation.f1_threshold(score(model, parts["val"])).first()["threshold"]
-    return figures(cut_lineage(score(model, parts["test"])), threshold).withColumn("threshold", F.lit(threshold))
+    scored, threshold = tuned(split(rows, THREE_WAYS), features, fit)
+    return figures(cut_lineage(scored), threshold).withColumn("threshold", F.lit(threshold))
 
 
 def ablation(rows: DataFrame, features: list[str], feature: str, fit: Fit) -> DataFrame:
@@ -211,19 +235,30 @@ def ablation(rows: DataFrame, features: list[str], feature: str, fit: Fit) -> Da
 
 def permutation_importance(rows: DataFrame, features: list[str], chosen: list[str], fit: Fit) -> DataFrame:
     """Change of test F1 when one feature is shuffled; negative means that the feature matters."""
-    base = validated_figures(rows, features, fit).first()["f1"]
-    return stacked([validated_figures(dataset.shuffle_feature(rows, "row_id", f), features, fit).select(
-        F.lit(f).alias("feature"), F.round(F.col("f1") - base, 4).alias("delta_f1")) for f in chosen])
+    spark = rows.sparkSession
+    # Split and permutation depend on the row ids alone, so that all features share them.
+    parts = split(dataset.partnered(rows, "row_id", chosen), THREE_WAYS)
+
+    def f1(feature: str | None) -> float | None:
+        data = parts if feature is None else {k: v.withColumn(feature, F.col("_other")[feature]) for k, v in parts.items()}
+        return evaluation.metrics(*tuned({k: v.drop("_other") for k, v in data.items()}, features, fit)).first()["f1"]
+
+    base, *found = side_by_side(spark, f1, [None, *chosen])
+    table = spark.createDataFrame(list(zip(chosen, found)), "feature string, f1 double")
+    return table.select("feature", F.round(F.col("f1") - F.lit(base), 4).alias("delta_f1"))
 
 
 def hard_negative_sweep(table: DataFrame, known_good: DataFrame, features: list[str], ratios: list[float], fit: Fit) -> DataFrame:
     """Figures at the tuned threshold for each share of hard negatives."""
-    parts = []
-    for ratio in ratios:
-        rows = cut_lineage(dataset.training_set(table, known_good, hard_ratio=ratio))
-        parts.append(validated_figures(rows, features, fit).select(
+    # All ratios draw from the same ranked pools.
+    pools = [cut_lineage(pool) for pool in dataset.pools(table, known_good)]
+
+    def at(ratio: float) -> DataFrame:
+        rows = cut_lineage(dataset.mixed(*pools, 1.0, ratio))
+        return cut_lineage(validated_figures(rows, features, fit).select(
             F.lit(ratio).alias("hard_negative_ratio"), F.lit(rows.count()).alias("n_samples"), "*"))
-    return stacked(parts)
+
+    return stacked(side_by_side(table.sparkSession, at, ratios))
 
 
 def score_numbers(model: PipelineModel, numbers: DataFrame, threshold: float) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import partial
-
 from pyspark.sql import functions as F
 
 from ..operators import dataset, ml
@@ -20,7 +18,6 @@ FITS = {
     "random_forest": ml.fit_rf,
     "rbf_svm": ml.fit_rbf_svm,
 }
-SMALL_GBT = partial(ml.fit_gbt, trees=5, depth=4)
 
 
 def training(spark, sf):
@@ -57,7 +54,7 @@ def cv_f1(spark, sf):
 
 @query("grid_search")
 def grid_search(spark, sf):
-    return rounded(ml.grid_search(training(spark, sf), FEATURES, [1e-1, 1e-3], [None, 0.1], k=2, size=16, iterations=10))
+    return rounded(ml.grid_search(training(spark, sf), FEATURES, [10.0, 1.0, 1e-1, 1e-2], [None, 0.01, 0.1], k=5))
 
 
 @query("feature_importance_top10")
@@ -80,7 +77,7 @@ def label_quality(spark, sf):
 
 def fraud_rows(spark, sf):
     """Embeddings as a feature table with an unbalanced label."""
-    names = [f"f{i}" for i in range(16)]
+    names = [f"f{i}" for i in range(64)]
     rows = views.table(spark, sf, "embeddings").select(
         F.col("vec_id").cast("string").alias("row_id"), (F.col("label") < 3).cast("int").alias("label"),
         *[F.col("embedding")[i].cast("double").alias(n) for i, n in enumerate(names)])
@@ -90,7 +87,7 @@ def fraud_rows(spark, sf):
 @query("refinement_report")
 def refinement_report(spark, sf):
     rows, names = fraud_rows(spark, sf)
-    return rounded(ml.refinement_report(rows, names, SMALL_GBT))
+    return rounded(ml.refinement_report(rows, names, ml.fit_gbt))
 
 
 @query("ablation")
@@ -100,10 +97,10 @@ def ablation(spark, sf):
 
 @query("permutation_importance")
 def permutation_importance(spark, sf):
-    return ml.permutation_importance(training(spark, sf), FEATURES, ["complaint_count_log", "is_voip", "night_ratio"], ml.fit_lr)
+    return ml.permutation_importance(training(spark, sf), FEATURES, FEATURES, ml.fit_lr)
 
 
 @query("hard_negative_sweep")
 def hard_negative_sweep(spark, sf):
     table, good = cut_lineage(features(spark, sf)), cut_lineage(good_features(spark, sf))
-    return rounded(ml.hard_negative_sweep(table, good, FEATURES, [0.0, 0.1, 0.2], ml.fit_lr))
+    return rounded(ml.hard_negative_sweep(table, good, FEATURES, [i / 100 for i in range(11)], ml.fit_lr))
