@@ -26,7 +26,7 @@ def query(name: str, sql: str | None = None):
 
 @query("op1_substring_dedup")
 def op1(spark, sf_dir):
-    return substring.spans(table(spark, sf_dir, "documents"))
+    return substring.report(table(spark, sf_dir, "documents"))
 
 
 @query("op2_toxicity")

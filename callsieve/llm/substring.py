@@ -3,7 +3,7 @@
 A gear hash rolls over the UTF-8 bytes of a text; where its top bits are zero, and the chunk is long enough, a chunk ends. Cuts depend on
 the last 32 bytes only, so an insertion shifts no later cut for long, and a passage is cut alike in all documents that hold it. Chunks are compared
 by a 64-bit digest. Digests that more than one document holds are repeated; touching repeated chunks of a document form a span, and spans that are long enough are
-reported. The document with the smallest id keeps a chunk. Digests are counted before the shuffle, and the join back leaves hot
+reported. The document with the smallest id keeps a chunk; the other documents lose it where it is in a span. Digests are counted before the shuffle, and the join back leaves hot
 digests to adaptive splitting.
 """
 
@@ -88,49 +88,81 @@ def chunks(docs: DataFrame, least: int = LEAST, most: int = MOST, cut_bits: int
         cut, "doc_id long, start long, length int, digest long")
 
 
-def spans(docs: DataFrame, span_bytes: int = SPAN_BYTES) -> DataFrame:
-    """Repeated passages of ``docs`` (doc_id, text; other columns are ignored): doc_id, start_byte, n_bytes, n_dropped_bytes, n_chunks,
-    most_docs and first_doc_id, one row per span of at least ``span_bytes`` bytes.
-
-    n_dropped_bytes are those whose chunks a document with a smaller id keeps. Null and empty texts and null ids have no
-    spans. Repeated rows of one id are one document; their spans fall together. An empty table gives an empty result.
-    """
+def passages(docs: DataFrame, span_bytes: int = SPAN_BYTES) -> DataFrame:
+    """The rows of :func:`spans` with ``gone``, the byte ranges (start, n) of a span whose chunks a document with a smaller id keeps."""
     cut = written(chunks(docs))
     repeated = (cut.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count("*").alias("n"))
                 .filter("first <> last").select("digest", "first", "n"))
     held = cut.join(written(repeated), "digest").groupBy("doc_id", "start").agg(
         F.max("length").alias("length"), F.min("first").alias("first"), F.max("n").alias("n"))
     order = Window.partitionBy("doc_id").orderBy("start")
+    dropped = F.col("first") < F.col("doc_id")
     opens = F.when(F.lag(F.col("start") + F.col("length")).over(order) == F.col("start"), 0).otherwise(1)
-    numbered = held.withColumn("opens", opens).withColumn("span", F.sum("opens").over(order))
-    return (numbered.groupBy("doc_id", "span").agg(
-        F.min("start").alias("start_byte"), F.sum("length").cast("long").alias("n_bytes"),
-        F.sum(F.when(F.col("first") < F.col("doc_id"), F.col("length")).otherwise(0)).cast("long").alias("n_dropped_bytes"),
+    turns = F.when((F.col("opens") == 0) & (F.lag(dropped).over(order) == dropped), 0).otherwise(1)
+    numbered = (held.withColumn("opens", opens).withColumn("turns", turns)
+                .withColumn("span", F.sum("opens").over(order)).withColumn("run", F.sum("turns").over(order)))
+    # A run is a part of a span that is kept or dropped as a whole.
+    runs = numbered.groupBy("doc_id", "span", "run").agg(
+        F.min("start").alias("start"), F.sum("length").cast("long").alias("n"), F.bool_or(dropped).alias("dropped"),
         F.count("*").alias("n_chunks"), F.max("n").alias("most_docs"), F.min("first").alias("first_doc_id"))
+    return (runs.groupBy("doc_id", "span").agg(
+        F.min("start").alias("start_byte"), F.sum("n").alias("n_bytes"),
+        F.sum(F.when(F.col("dropped"), F.col("n")).otherwise(0)).alias("n_dropped_bytes"),
+        F.sum("n_chunks").alias("n_chunks"), F.max("most_docs").alias("most_docs"), F.min("first_doc_id").alias("first_doc_id"),
+        F.collect_list(F.when(F.col("dropped"), F.struct("start", "n"))).alias("gone"))
         .filter(F.col("n_bytes") >= span_bytes).drop("span"))
 
 
-def deduplicated(docs: DataFrame, span_bytes: int = SPAN_BYTES) -> DataFrame:
-    """doc_id and text of every row without the spans that begin with another document, cut at whole characters."""
-    gone = (spans(docs, span_bytes).filter("first_doc_id < doc_id and 2 * n_dropped_bytes >= n_bytes")
-            .groupBy("doc_id").agg(F.collect_list(F.struct("start_byte", "n_bytes")).alias("gone")))
+def spans(docs: DataFrame, span_bytes: int = SPAN_BYTES) -> DataFrame:
+    """Repeated passages of ``docs`` (doc_id, text; other columns are ignored): doc_id, start_byte, n_bytes, n_dropped_bytes, n_chunks,
+    most_docs and first_doc_id, one row per span of at least ``span_bytes`` bytes.
+
+    n_dropped_bytes are those whose chunks a document with a smaller id keeps. Null and empty texts and null ids have no
+    spans. Repeated rows of one id are one document; their spans fall together. An empty table gives an empty result.
+    """
+    return passages(docs, span_bytes).drop("gone")
+
+
+def without(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """doc_id and text of every row without the ranges that ``found``, the :func:`passages` of ``docs``, names."""
+    gone = found.filter("n_dropped_bytes > 0").groupBy("doc_id").agg(F.flatten(F.collect_list("gone")).alias("gone"))
 
     def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for text, spans_ in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                if spans_:
-                    data, kept, at = text.encode("utf-8", "surrogatepass"), b"", 0
-                    for s in sorted(spans_, key=lambda s: s["start_byte"]):
-                        start, end = s["start_byte"], s["start_byte"] + s["n_bytes"]
-                        while start < end and data[start] & 0xC0 == 0x80:
+            for text, ranges in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                if text and ranges:
+                    data, kept, at = text.encode("utf-8", "surrogatepass"), [], 0
+                    for start, end in sorted((r["start"], r["start"] + r["n"]) for r in ranges):
+                        # A character that is not whole inside the range stays: no other document need hold it.
+                        while start < end and start < len(data) and data[start] & 0xC0 == 0x80:
                             start += 1
-                        while end < len(data) and data[end] & 0xC0 == 0x80:
-                            end += 1
-                        kept, at = kept + data[at:start], end
-                    text = (kept + data[at:]).decode("utf-8", "surrogatepass")
+                        while end > start and end < len(data) and data[end] & 0xC0 == 0x80:
+                            end -= 1
+                        if start < end:
+                            kept.append(data[at:start])
+                            at = max(at, end)
+                    text = b"".join([*kept, data[at:]]).decode("utf-8", "surrogatepass")
                 texts.append(text)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["doc_id", "text"])
 
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    own = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return own.join(gone, "doc_id", "left").mapInArrow(drop, "doc_id long, text string")
+
+
+def deduplicated(docs: DataFrame, span_bytes: int = SPAN_BYTES) -> DataFrame:
+    """doc_id and text of every row without the chunks of its spans that a document with a smaller id keeps, cut at whole characters.
+
+    The smallest id that holds a chunk always keeps it, so no text goes from all documents.
+    """
+    return without(docs, passages(docs, span_bytes))
+
+
+def report(docs: DataFrame, span_bytes: int = SPAN_BYTES) -> DataFrame:
+    """The spans, each with the length (kept_bytes) and the CRC-32 (kept_digest) of its document's text after :func:`deduplicated`;
+    both are summed over repeated rows of one id."""
+    found = written(passages(docs, span_bytes))
+    kept = without(docs.join(found.select("doc_id").distinct(), "doc_id", "left_semi"), found)
+    facts = kept.groupBy("doc_id").agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).cast("long").alias("kept_bytes"),
+                                       F.sum(F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0))).alias("kept_digest"))
+    return found.drop("gone").join(facts, "doc_id")

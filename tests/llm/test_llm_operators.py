@@ -108,6 +108,33 @@ def test_passages_are_found_wherever_they_stand(spark):
     assert all(kept[60 + i] == clean[i] for i in range(60))
 
 
+def test_chains_of_edited_copies_lose_no_text(spark):
+    rng = random.Random(8)
+    first, new, other, short = words(rng, 300), words(rng, 120), words(rng, 120), words(rng, 90)
+    copy = f"{first[:900]} {new} {first[900:]}"
+    texts = {1: first, 5: copy, 9: copy, 12: f"{other} {new[:400]}", 14: f"{short} {first[:200]} {other}", 20: f"{first[:200]} {short} {words(rng, 40)} äöü"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    kept = {r["doc_id"]: r["text"] for r in rows(substring.deduplicated(docs))}
+    assert kept[1] == first and new[80:-80] in kept[5] and len(kept[5]) < len(new) + 400 and len(kept[9]) < 200
+    for text in texts.values():  # every chunk of every text stands in what is kept
+        data = text.encode()
+        ends = substring.cuts(np.frombuffer(data, np.uint8))
+        assert all(any(data[i:e] in k.encode() for k in kept.values()) for i, e in zip([0, *ends], ends))
+    for r in rows(substring.passages(docs)):
+        lost = sum(g["n"] for g in r["gone"])
+        assert lost == r["n_dropped_bytes"] and (r["first_doc_id"] < r["doc_id"]) == (lost > 0)
+    for i, text in texts.items():
+        assert len(text.encode()) - len(kept[i].encode()) == sum(r["n_dropped_bytes"] for r in rows(substring.spans(docs)) if r["doc_id"] == i)
+    for r in rows(substring.report(docs)):
+        assert (r["kept_bytes"], r["kept_digest"]) == (len(k := kept[r["doc_id"]].encode()), zlib.crc32(k))
+
+
+def test_characters_that_a_cut_parts_stay(spark):
+    found = spark.createDataFrame([(2, 9, [(2, 5)])], "doc_id long, n_dropped_bytes long, gone array<struct<start long, n long>>")
+    docs = spark.createDataFrame([(2, "aäbcdöe")], "doc_id long, text string")  # bytes 2 to 6: half of ä, b, c, d, half of ö
+    assert rows(substring.without(docs, found)) == [{"doc_id": 2, "text": "aäöe"}]
+
+
 def test_substring_odd_input(odd, none):
     found = rows(substring.spans(odd))
     assert {r["doc_id"] for r in found} == {50, 60, 80, 90} and max(r["n_bytes"] for r in found) > len(LONG) - 300
