@@ -29,12 +29,21 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, the one with the smallest id; documents without words are no copies."""
-    groups = jaccard.joined(docs)
-    kept = groups.filter("component_id = doc_id or component_id is null").groupBy("doc_id").agg(F.max("n_shingles").alias("n"))
-    rows = docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"])).select(*[docs[c] for c in COLUMNS], "n")
-    # Repeated rows have one id and one text: the first stays, too.
-    return rows.filter("n > 0").dropDuplicates(["doc_id"]).unionByName(rows.filter("n = 0")).select(*COLUMNS)
+    """One row of each group of near copies, the one with the smallest id; rows without words are no copies and all stay.
+
+    Rows are told apart by id and text. A null id is no id that rows share: such rows stay unless their texts are near copies, and
+    stand behind any id in a group. Different texts with one id are different documents.
+    """
+    keyed = docs.withColumn("_key", F.xxhash64("doc_id", "text"))
+    groups = written(jaccard.joined(keyed.select(F.col("_key").alias("doc_id"), "text")).select(
+        F.col("doc_id").alias("_key"), F.col("n_shingles").alias("_n"), "component_id").distinct())
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_key"))
+    leads = groups.filter("_n > 0").join(keyed.select("_key", "doc_id"), "_key").groupBy("component_id").agg(first.alias("lead"))
+    kept = leads.select(F.col("lead._key").alias("_key"), F.lit(True).alias("_once")).unionByName(
+        groups.filter("_n = 0").select("_key", F.lit(False).alias("_once")))
+    rows = keyed.join(kept, "_key")
+    # Of rows with one id and one text the first stays.
+    return rows.filter("_once").dropDuplicates(["_key"]).unionByName(rows.filter("not _once")).select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import random
 import re
 import shutil
 import subprocess
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry_module
 import corpus_pipeline
 from callsieve.llm import jaccard, toxicity
-from test_llm_operators import SCHEMA, WORD, odd_rows
+from test_llm_operators import SCHEMA, WORD, odd_rows, words
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 SF = "/root/testdata/sf0.01"
@@ -79,6 +80,19 @@ def test_stages_take_odd_rows(spark, tmp_path):
             rows.count()
 
 
+def test_rows_without_an_id_or_with_a_shared_one_stay(spark):
+    rng = random.Random(4)
+    texts = [words(rng, 80) for _ in range(6)]
+    docs = [(None, t) for t in texts[:3]] + [(7, texts[3]), (7, texts[4]), (None, ""), (None, None), (8, ""), (None, "")]
+    copies = [(None, texts[0] + " tail"), (7, texts[3]), (9, texts[4] + " tail"), (3, texts[1] + " tail"), (None, texts[5]), (None, texts[5] + " tail")]
+    table = spark.createDataFrame([(i, t, "en", "s1", len(t or "")) for i, t in docs + copies], SCHEMA)
+    got = [(r["doc_id"], r["text"]) for r in corpus_pipeline.drop_near_copies(spark, table, SF).collect()]
+    assert sum(not t for _, t in got) == 4 and len(got) == 10
+    assert {(7, texts[3]), (7, texts[4]), (3, texts[1] + " tail"), (None, texts[2])} <= set(got)
+    for i in (0, 5):
+        assert sum(t in (texts[i], texts[i] + " tail") for _, t in got) == 1
+
+
 def test_every_operator_has_a_query_and_nothing_else_imports_the_part():
     names = entry_module.queries()
     assert all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 11)) and "pipeline" in names
