@@ -74,11 +74,12 @@ def _lanes() -> list[Column]:
     return [c.cast("long").alias(n) for c, n in zip(out, LANES)]
 
 
-def _nodes(blocks: DataFrame, rows: DataFrame, sums: list[str]) -> DataFrame:
-    """Nodes below the root: depth, path, the path before (q0 to q3), conv_id, n_convs, n_before (characters before the last turn),
-    digest (of the last turn), and the sums of ``sums`` over the members."""
+def _nodes(blocks: DataFrame, rows: DataFrame, sums: list[str], own: list[str]) -> DataFrame:
+    """Nodes below the root: depth, path, the path before (q0 to q3), smallest (a struct of the smallest conv_id and its ``own`` columns),
+    n_convs, n_before (characters before the last turn), digest (of the last turn), and the sums of ``sums`` over the members."""
     distinct = blocks.groupBy("block", *PATH, *LANES, "n_turns").agg(
-        F.min("conv_id").alias("conv_id"), F.count("*").alias("n_convs"), F.min("n_before").alias("n_before"), *[F.sum(s).alias(s) for s in sums])
+        F.min("conv_id").alias("conv_id"), F.min(F.struct("conv_id", *own)).alias("smallest"), F.count("*").alias("n_convs"),
+        F.min("n_before").alias("n_before"), *[F.sum(s).alias(s) for s in sums])
     distinct = written(distinct.drop(*LANES))
     sole = (distinct.groupBy("block", *PATH).agg(F.count("*").alias("n_next"), F.min("conv_id").alias("conv_id"))
             .filter("n_next = 1").select("conv_id", "block", F.lit(True).alias("sole")))
@@ -86,14 +87,14 @@ def _nodes(blocks: DataFrame, rows: DataFrame, sums: list[str]) -> DataFrame:
     # One member of each distinct block has the turns: at most a block of rows for each.
     inside = Window.partitionBy("conv_id", "block").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     stepped = marked.join(rows, ["conv_id", "block"]).select(
-        "conv_id", "sole", "n_convs", *sums, (F.col("pos") + 1).alias("depth"), "digest",
+        "smallest", "sole", "n_convs", *sums, (F.col("pos") + 1).alias("depth"), "digest",
         *[(F.col(p) + F.sum(x).over(inside)).alias(p) for p, x in zip(PATH, LANES)],
         *[(F.col(p) + F.sum(x).over(inside) - F.col(x)).alias(f"q{i}") for i, (p, x) in enumerate(zip(PATH, LANES))],
         (F.col("n_before") + F.sum("n_chars").over(inside) - F.col("n_chars")).alias("n_before"))
     before = [f"q{i}" for i in range(len(PATH))]
-    columns = ["depth", *PATH, *before, "conv_id", "n_convs", "n_before", "digest", *sums]
+    columns = ["depth", *PATH, *before, "smallest", "n_convs", "n_before", "digest", *sums]
     refined = stepped.filter("sole is null").groupBy("depth", *PATH).agg(
-        *[F.min(c).alias(c) for c in (*before, "conv_id", "n_before", "digest")], *[F.sum(c).alias(c) for c in ("n_convs", *sums)])
+        *[F.min(c).alias(c) for c in (*before, "smallest", "n_before", "digest")], *[F.sum(c).alias(c) for c in ("n_convs", *sums)])
     return stepped.filter("sole").select(*columns).unionByName(refined.select(*columns))
 
 
@@ -150,33 +151,34 @@ def trie(rows: DataFrame, ids: DataFrame, block: int = BLOCK) -> DataFrame:
     root = paths.agg(F.min("conv_id").alias("conv_id"), F.count("*").alias("n_convs")).filter("n_convs > 0").select(
         zero.alias("depth"), *[zero.alias(p) for p in PATH], "conv_id", "n_convs", zero.alias("n_before"), F.lit(None).cast("string").alias("digest"),
         *[F.lit(None).cast("long").alias(f"q{i}") for i in range(len(PATH))])
-    nodes = written(_nodes(blocks, rows, []).unionByName(root))
-
-    # Where each conversation begins to own its path, and what hangs on a path that its smallest member does not own.
-    heads = written(nodes.groupBy("conv_id").agg(F.min(F.struct("depth", *[f"q{i}" for i in range(len(PATH))], "n_before")).alias("h")).select(
-        "conv_id", F.col("h.depth").alias("from_depth"), (F.col("h.depth") - 1).alias("depth"), *[F.col(f"h.q{i}").alias(p) for i, p in enumerate(PATH)],
-        F.col("h.n_before").alias("n_before")))
-    key = ["depth", *PATH]
-    branches = heads.filter("depth >= 0").groupBy(*key).agg(F.count("*").alias("n_branches"))
-    parents = heads.filter("depth >= 0").select("conv_id", *key).join(nodes.select(*key, F.col("conv_id").alias("parent")), key).select("conv_id", "parent")
+    below_root = _nodes(blocks, rows, [], []).withColumn("conv_id", F.col("smallest.conv_id")).drop("smallest")
+    nodes = written(below_root.unionByName(root))
+
+    # Where each conversation begins to own its path, where that ends, and what hangs on a path that its smallest member does not own.
+    key, begin = ["depth", *PATH], ["depth", *[f"q{i}" for i in range(len(PATH))], "n_before"]
+    owned = written(nodes.groupBy("conv_id").agg(F.min(F.struct(*begin)).alias("h"), F.max(F.struct(*key)).alias("last")))
+    heads = owned.filter("h.depth > 0").select("conv_id", (F.col("h.depth") - 1).alias("depth"), *[F.col(f"h.q{i}").alias(p) for i, p in enumerate(PATH)])
+    branches = heads.groupBy(*key).agg(F.count("*").alias("n_branches"))
+    parents = heads.join(nodes.select(*key, F.col("conv_id").alias("parent")), key).select("conv_id", "parent")
     lengths = paths.select("conv_id", F.col("depth").alias("length"), "total")
-    childless = (nodes.join(lengths, "conv_id").filter("depth = length").join(branches, key, "left_anti").select("conv_id", F.lit(1).cast("long").alias("leaf")))
-    owners = heads.select("conv_id", "from_depth", "n_before").join(parents, "conv_id", "left").join(childless, "conv_id", "left")
+    childless = (owned.select("conv_id", "last.*").join(lengths, "conv_id").filter("depth = length").join(branches, key, "left_anti")
+                 .select("conv_id", F.lit(1).cast("long").alias("leaf")))
+    owners = owned.select("conv_id", F.col("h.depth").alias("from_depth"), F.col("h.n_before").alias("n_before")).join(
+        parents, "conv_id", "left").join(childless, "conv_id", "left")
     facts = written(lengths.join(owners, "conv_id", "left").select(
         "conv_id", "length", "total", "from_depth", "parent", F.coalesce(F.col("total") - F.col("n_before"), zero).alias("own"), F.coalesce("leaf", zero).alias("leaf")))
 
-    sums = ["total", "own", "leaf"]
-    below = _nodes(blocks.drop("total").join(facts.select("conv_id", *sums), "conv_id"), rows, sums)
-    top = facts.agg(F.min("conv_id").alias("conv_id"), F.count("*").alias("n_convs"), *[F.sum(s).alias(s) for s in sums]).filter("n_convs > 0").select(
-        "*", zero.alias("depth"), *[zero.alias(p) for p in PATH], zero.alias("n_before"), F.lit(None).cast("string").alias("digest"))
+    sums, known = ["total", "own", "leaf"], ["length", "from_depth", "parent", "total", "own"]
+    below = _nodes(blocks.join(facts, "conv_id"), rows, sums, known)
+    top = facts.agg(F.min(F.struct("conv_id", *known)).alias("smallest"), F.count("*").alias("n_convs"), *[F.sum(s).alias(s) for s in sums]).filter(
+        "n_convs > 0").select("*", zero.alias("depth"), *[zero.alias(p) for p in PATH], zero.alias("n_before"), F.lit(None).cast("string").alias("digest"))
     summed = below.drop(*[f"q{i}" for i in range(len(PATH))]).unionByName(top)
-    smallest = facts.select("conv_id", "length", "from_depth", "parent", F.col("total").alias("total_s"), F.col("own").alias("own_s"))
     ends = _ends(paths.select("conv_id", *key))
-    out = summed.join(smallest, "conv_id").join(branches, key, "left").join(ends, key, "left")
+    out, s = summed.join(branches, key, "left").join(ends, key, "left"), F.col("smallest")
     return out.select(
-        "conv_id", "depth", F.when(F.col("depth") > F.col("from_depth"), F.col("conv_id")).otherwise(F.col("parent")).alias("parent_conv_id"), "n_convs",
-        ((F.col("depth") < F.col("length")).cast("long") + F.coalesce("n_branches", zero)).alias("n_children"), F.col("leaf").alias("n_leaves"),
-        (F.col("total") - F.col("n_convs") * F.col("n_before") - (F.col("total_s") - F.col("n_before") + F.col("own") - F.col("own_s"))).alias("saved_tokens"),
+        s["conv_id"].alias("conv_id"), "depth", F.when(F.col("depth") > s["from_depth"], s["conv_id"]).otherwise(s["parent"]).alias("parent_conv_id"), "n_convs",
+        ((F.col("depth") < s["length"]).cast("long") + F.coalesce("n_branches", zero)).alias("n_children"), F.col("leaf").alias("n_leaves"),
+        (F.col("total") - F.col("n_convs") * F.col("n_before") - (s["total"] - F.col("n_before") + F.col("own") - s["own"])).alias("saved_tokens"),
         F.coalesce("ends_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("ends_sha256"), "digest")
 
 
