@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,16 +38,25 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the folder that ``spark.checkpoint.dir`` names.
-
-    Only a local session may do without the setting; it then gets a folder of its own.
-    """
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names. Only a local session may do without the setting; it then gets a folder of its own."""
     context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        if not named and not context.master.startswith("local"):
+    named = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not named:
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="callsieve-checkpoint-"))
+        named = tempfile.mkdtemp(prefix="callsieve-checkpoint-")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(named)
+    return named
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder for files of one run, in the shared folder; left to the cluster's clean-up of it, as checkpoints are."""
+    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint in the :func:`shared_folder`."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
