@@ -2,8 +2,9 @@
 
 Points are put into cells whose diagonal equals ``eps``, so all points of one cell are neighbours. A cell
 with ``min_points`` points makes them all core points, without looking at any pair. Only points of thinner
-cells are compared, with the points of adjacent cells; there are fewer than ``min_points`` of them per cell,
-so the work grows linearly with the data even if one cell holds most of it.
+cells are compared, with the points of adjacent cells; there are fewer than ``min_points`` of them per cell.
+Which occupied cells are adjacent is found in a partition of space by median cuts, with cells within reach of a
+cut on both sides of it.
 """
 
 from __future__ import annotations
@@ -12,29 +13,22 @@ import math
 from functools import reduce
 from operator import add
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from .prefix import numbered
 
-COARSE_DIMS = 3
+#: Cells that one task compares with those around them.
+LEAF_CELLS = 1000
 
 
 def squared_distance(a: str, b: str, dims: int) -> Column:
     return reduce(add, [(F.col(f"{a}.x{i}") - F.col(f"{b}.x{i}")) * (F.col(f"{a}.x{i}") - F.col(f"{b}.x{i}")) for i in range(dims)])
 
 
-def box_gap(a: str, b: str, dims: int, far: bool = False) -> Column:
-    """Squared smallest (or largest) distance between two boxes with integer cells c0.. of one size."""
-    parts = []
-    for i in range(dims):
-        apart = F.abs(F.col(f"{a}.c{i}") - F.col(f"{b}.c{i}"))
-        side = apart + 1 if far else F.greatest(apart - 1, F.lit(0))
-        parts.append(side * side)
-    return reduce(add, parts)
-
-
 def points_in_cells(df: DataFrame, id_col: str, columns: list[str], eps: float) -> DataFrame:
     """id, coordinates x0.., cell numbers c0.. and the cell key."""
     side = eps / math.sqrt(len(columns))
@@ -43,23 +37,56 @@ def points_in_cells(df: DataFrame, id_col: str, columns: list[str], eps: float)
     return rows.withColumn("cell", F.concat_ws(",", *[F.col(f"c{i}") for i in range(len(columns))]))
 
 
-def adjacent_cells(cells: DataFrame, dims: int) -> DataFrame:
-    """Pairs of different occupied cells that may hold points within eps, found through a coarse grid.
+def parted(cells: DataFrame, dims: int, leaf_cells: int) -> DataFrame:
+    """Cells (cell, box: their numbers as an array) by ``leaf``: each is its own leaf's (``own``), and a copy in every leaf within reach.
 
-    Corners of such cells differ by at most eps plus one cell side, so coarse cells of 2 eps and
-    their direct neighbours cover them.
+    Leaves are halved at the median of their widest dimension until they are small enough. Cells within reach of the cut go to both sides. A
+    leaf that is nowhere wide enough for a cut to part it stays, whatever its size; it is compared in blocks.
     """
-    used = min(dims, COARSE_DIMS)
-    coarse = [F.floor(F.col(f"c{i}") / (2 * math.sqrt(dims))) for i in range(used)]
-    near = cells.select("cell", *[f"c{i}" for i in range(dims)], *[
-        F.explode(F.sequence(coarse[0] - 1, coarse[0] + 1)).alias("g0")])
-    for i in range(1, used):
-        near = near.select("*", F.explode(F.sequence(coarse[i] - 1, coarse[i] + 1)).alias(f"g{i}"))
-    own = cells.select("cell", *[f"c{i}" for i in range(dims)], *[c.alias(f"g{i}") for i, c in enumerate(coarse)])
-    joined = near.alias("a").join(own.alias("b"), [f"g{i}" for i in range(used)])
-    # Box sides are eps / sqrt(dims): gaps up to dims squared sides are within eps.
-    return joined.filter((F.col("a.cell") != F.col("b.cell")) & (box_gap("a", "b", dims) <= dims)).select(
-        F.col("a.cell").alias("cell"), F.col("b.cell").alias("other"))
+    reach = math.isqrt(dims) + 1
+    rows = cut_lineage(cells.select("cell", F.array(*[F.col(f"c{i}") for i in range(dims)]).alias("box"), F.lit(0).cast("long").alias("leaf"), F.lit(True).alias("own")))
+    done = None
+    while True:
+        spans = [F.struct((F.max(F.col("box")[i]) - F.min(F.col("box")[i])).alias("span"), F.lit(i).alias("dim")) for i in range(dims)]
+        widest = rows.filter("own").groupBy("leaf").agg(F.count("*").alias("n"), F.array_max(F.array(*spans)).alias("w"))
+        open_leaves = widest.filter((F.col("n") > leaf_cells) & (F.col("w.span") > 4 * reach)).select("leaf", "w.dim")
+        at = lambda df: df.withColumn("v", F.get("box", "dim"))
+        middles = at(rows.filter("own").join(open_leaves, "leaf")).groupBy("leaf", "dim").agg(
+            F.greatest(F.percentile_approx("v", 0.5), F.min("v") + 1).alias("cut"))
+        middles = cut_lineage(middles)
+        closed = rows.join(middles.select("leaf"), "leaf", "left_anti")
+        done = closed if done is None else done.unionByName(closed)
+        if middles.isEmpty():
+            return done
+        halves = at(rows.join(middles, "leaf"))
+        low, high = F.col("v") < F.col("cut") + reach, F.col("v") >= F.col("cut") - reach
+        side = lambda n, near, own: F.when(near, F.struct((F.col("leaf") * 2 + n).alias("leaf"), (F.col("own") & own).alias("own")))
+        sides = F.filter(F.array(side(1, low, F.col("v") < F.col("cut")), side(2, high, F.col("v") >= F.col("cut"))), lambda x: x.isNotNull())
+        rows = cut_lineage(halves.select("cell", "box", F.explode(sides).alias("s")).select("cell", "box", "s.leaf", "s.own"))
+
+
+def adjacent_cells(cells: DataFrame, dims: int, leaf_cells: int | None = None) -> DataFrame:
+    """Pairs of different occupied cells that may hold points within eps: their boxes are no further apart, in any number of dimensions."""
+    leaf_cells = leaf_cells or LEAF_CELLS
+    rows = cut_lineage(parted(cells, dims, leaf_cells))
+    counts = rows.groupBy("leaf").agg(F.ceil(F.count_if("own") / leaf_cells).alias("owns"), F.ceil(F.count("*") / (4 * leaf_cells)).alias("alls"))
+    blocked = rows.join(counts, "leaf").withColumns({"ob": F.pmod(F.xxhash64("cell"), F.col("owns")), "ab": F.pmod(F.xxhash64("cell"), F.col("alls"))})
+    asking = blocked.filter("own").select("leaf", "ob", F.explode(F.sequence(F.lit(0).cast("long"), F.col("alls") - 1)).alias("ab"), "cell", "box", F.lit(True).alias("asks"))
+    around = blocked.filter("owns > 0").select("leaf", F.explode(F.sequence(F.lit(0).cast("long"), F.col("owns") - 1)).alias("ob"), "ab", "cell", "box", F.lit(False).alias("asks"))
+
+    def near(pdf: pd.DataFrame) -> pd.DataFrame:
+        asks, others = pdf[pdf["asks"]], pdf[~pdf["asks"]]
+        out = []
+        if len(asks) and len(others):
+            boxes = np.stack(others["box"].to_numpy())
+            names = others["cell"].to_numpy()
+            for cell, box in zip(asks["cell"], asks["box"]):
+                # Box sides are eps / sqrt(dims): gaps up to dims squared sides are within eps.
+                found = names[(np.maximum(np.abs(boxes - box) - 1, 0).astype(float) ** 2).sum(1) <= dims]
+                out += [(cell, other) for other in found if other != cell]
+        return pd.DataFrame(out, columns=["cell", "other"])
+
+    return asking.unionByName(around).groupBy("leaf", "ob", "ab").applyInPandas(near, "cell string, other string")
 
 
 def core_points(points: DataFrame, dims: int, eps: float, min_points: int) -> DataFrame:
@@ -112,7 +139,10 @@ def linked_cells(core: DataFrame, pairs: DataFrame, dims: int, eps: float, deepe
         if open_pairs.isEmpty():
             return linked
         if level > deepest:
-            raise ValueError("cells could not be told apart; points differ by less than double precision")
+            # Points that no halving parts any more are compared themselves.
+            spots = core.select("cell", *where).distinct()
+            both = open_pairs.join(spots, "cell").alias("a").join(spots.withColumnRenamed("cell", "other").alias("b"), "other")
+            return linked.unionByName(both.filter(squared_distance("a", "b", dims) <= eps * eps).select("cell", "other").distinct())
 
 
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:

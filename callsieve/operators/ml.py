@@ -11,10 +11,11 @@ from collections.abc import Callable
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
+import pandas as pd
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import ClusteringEvaluator, MulticlassClassificationEvaluator
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import PCA, SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
@@ -266,13 +267,36 @@ def score_numbers(model: PipelineModel, numbers: DataFrame, threshold: float) ->
     return score(model, numbers).withColumn("predicted", evaluation.predicted(threshold))
 
 
-def silhouette(rows: DataFrame, columns: list[str], cluster: str) -> DataFrame:
-    """Silhouette of the clustered points, noise left out; null with fewer than two clusters."""
-    kept = rows.filter(F.col(cluster) != -1).select(F.col(cluster).alias("prediction"), F.array(*columns).alias("v"))
-    kept = cut_lineage(kept.select("prediction", array_to_vector("v").alias("features")))
-    facts = kept.agg(F.count("*").alias("n"), F.count_distinct("prediction").alias("k")).first()
-    value = ClusteringEvaluator(featuresCol="features").evaluate(kept) if facts["k"] > 1 else None
-    return rows.sparkSession.createDataFrame([(facts["n"], facts["k"], value)], "points long, clusters long, silhouette double")
+def silhouette(rows: DataFrame, id_col: str, columns: list[str], cluster: str, sample: int = 5000, seed: int = 42) -> DataFrame:
+    """Mean silhouette by plain distance of the clustered points, noise left out, over ``sample`` of them; null with fewer than two clusters.
+
+    Every sampled point is measured against all others. The sample, whose size is the bound, goes to all tasks.
+    """
+    kept = rows.filter(F.col(cluster) != -1).select(F.col(id_col).alias("id"), F.col(cluster).alias("cluster"), F.array(*[F.col(c).cast("double") for c in columns]).alias("v"))
+    taken = cut_lineage(sampling.sample_n(kept, "id", sample, seed).select("cluster", "v"))
+    held = taken.toPandas()
+    points = np.stack(held["v"].to_numpy()) if len(held) else np.zeros((0, len(columns)))
+    names, member = np.unique(held["cluster"].to_numpy(), return_inverse=True)
+    sizes = np.bincount(member, minlength=len(names))
+    shipped = rows.sparkSession.sparkContext.broadcast((points, member))
+
+    def widths(batches):
+        points, member = shipped.value
+        order = {name: i for i, name in enumerate(names)}
+        for pdf in batches:
+            out = []
+            for own, v in zip(pdf["cluster"], pdf["v"]):
+                sums = np.bincount(member, np.sqrt(((points - v) ** 2).sum(1)), minlength=len(sizes))
+                i = order[own]
+                other = np.delete(sums / sizes, i)
+                a = sums[i] / max(sizes[i] - 1, 1)
+                b = other.min() if len(other) else 0.0
+                out.append(0.0 if sizes[i] == 1 or max(a, b) == 0 else (b - a) / max(a, b))
+            yield pd.DataFrame({"s": out}, dtype=float)
+
+    value = F.avg("s") if len(names) > 1 else F.lit(None).cast("double")
+    return taken.repartition(F.xxhash64("v")).mapInPandas(widths, "s double").agg(
+        F.count("*").alias("points"), F.lit(len(names)).cast("long").alias("clusters"), value.alias("silhouette"))
 
 
 def embed_2d(rows: DataFrame, id_col: str, vector: str, label: str, sample: int | None = None, seed: int = 42) -> DataFrame:

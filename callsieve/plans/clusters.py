@@ -6,39 +6,47 @@ from pyspark.sql import functions as F
 
 from ..operators import clean, neighbors
 from ..operators import cluster as ops
+from ..session import cut_lineage
 from ..sources import views
-from .cleaning import CLEANED, TYPED
+from .cleaning import AGES, CHAIN, EDUCATION, hot
+from .cleaning import scaled as sql_scaled
 from .evaluation import rounded
 from .oracle_views import over
 from .registry import query
 
-EPS, MIN_POINTS = 0.2, 10
-Z = """
-select cast(Phone_Number as bigint) as id, (Report_Count - avg(Report_Count) over ()) / stddev_pop(Report_Count) over () as x,
-  (Financial_Loss - avg(Financial_Loss) over ()) / stddev_pop(Financial_Loss) over () as y, Cluster_ID, Label from cleaned"""
+EPS, MIN_POINTS = 0.6, 10
+#: The whole prepared matrix: scaled figures, flag, and all levels of the categories.
+MATRIX = [*clean.SCALED, "high_frequency_flag", *[f"Age_Group_{v}" for v in AGES], *[f"Education_{v}" for v in EDUCATION]]
+DISTANCE = " + ".join(f"({{a}}.x{i} - {{b}}.x{i}) * ({{a}}.x{i} - {{b}}.x{i})" for i in range(len(MATRIX)))
+PREPARED = f"""
+select Phone_Number, Label, high_frequency_flag, {', '.join(sql_scaled(c, 'derived') for c in clean.SCALED)},
+  {hot('Age_Group', AGES)}, {hot('Education', EDUCATION)} from derived"""
+Z = "select cast(Phone_Number as bigint) as id, Label, " + ", ".join(f'"{c}"::double as x{i}' for i, c in enumerate(MATRIX)) + " from prepared"
+X = [f"x{i}" for i in range(len(MATRIX))]
 
 
-def scaled(spark, sf):
-    table = clean.standard_scale(clean.clean_fraud(views.fraud(spark, sf)), ["Report_Count", "Financial_Loss"])
-    return table.select(F.col("Phone_Number").cast("long").alias("id"), F.col("Report_Count").alias("x"),
-                        F.col("Financial_Loss").alias("y"), "Cluster_ID", F.col("Label").alias("label"))
+def matrix(spark, sf):
+    table = clean.prepare_fraud(views.fraud(spark, sf))
+    table = table.withColumns({c: F.round(c, 6) for c in clean.SCALED})
+    held = [F.col(c).cast("double") if c in table.columns else F.lit(0.0) for c in MATRIX]
+    return cut_lineage(table.select(F.col("Phone_Number").cast("long").alias("id"), F.col("Label").alias("label"), *[c.alias(x) for c, x in zip(held, X)]))
+
+
+NEAR = f"select a.id as a, b.id as b from z a join z b on {DISTANCE.format(a='a', b='b')} <= {EPS} * {EPS}"
 
 
 @query("dbscan_neighbors", over("fraud", f"""
-select id, (select count(*) from z o where (o.x - z.x) * (o.x - z.x) + (o.y - z.y) * (o.y - z.y) <= {EPS} * {EPS}) >= {MIN_POINTS}
-  as is_core from z""", typed=TYPED, cleaned=CLEANED, z=Z))
+select id, (select count(*) from near where near.a = z.id) >= {MIN_POINTS} as is_core from z""", **CHAIN, prepared=PREPARED, z=Z, near=NEAR))
 def dbscan_neighbors(spark, sf):
-    points = ops.points_in_cells(scaled(spark, sf), "id", ["x", "y"], EPS)
-    return ops.core_points(points, 2, EPS, MIN_POINTS).select("id", "is_core")
+    points = ops.points_in_cells(matrix(spark, sf), "id", X, EPS)
+    return ops.core_points(points, len(X), EPS, MIN_POINTS).select("id", "is_core")
 
 
 def labelled(spark, sf):
-    rows = scaled(spark, sf)
-    return rows.join(ops.dbscan(rows, "id", ["x", "y"], EPS, MIN_POINTS), "id")
+    rows = matrix(spark, sf)
+    return rows.join(ops.dbscan(rows, "id", X, EPS, MIN_POINTS), "id")
 
 
-NEAR = f"""
-select a.id as a, b.id as b from z a join z b on (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= {EPS} * {EPS}"""
 CORE = f"select a as id from near group by a having count(*) >= {MIN_POINTS}"
 LINKS = "select a, b from near where a in (select id from core) and b in (select id from core)"
 #: Smallest core id reachable, one step of all links at a time.
@@ -52,27 +60,28 @@ CLUSTERS = """
 select z.id, coalesce(named.cluster, min(o.cluster), -1) as cluster, named.id is not null as is_core
 from z left join named on named.id = z.id left join near on near.a = z.id left join named o on o.id = near.b
 group by z.id, named.id, named.cluster"""
-DENSITY = {"typed": TYPED, "cleaned": CLEANED, "z": Z, "near": NEAR, "core": CORE, "links": LINKS, "spread": SPREAD, "labels": LABELS,
+DENSITY = {**CHAIN, "prepared": PREPARED, "z": Z, "near": NEAR, "core": CORE, "links": LINKS, "spread": SPREAD, "labels": LABELS,
            "named": NAMED, "clusters": CLUSTERS}
 
 
 @query("dbscan", over("fraud", "select * from clusters", **DENSITY))
 def dbscan(spark, sf):
-    return ops.dbscan(scaled(spark, sf), "id", ["x", "y"], EPS, MIN_POINTS)
+    return ops.dbscan(matrix(spark, sf), "id", X, EPS, MIN_POINTS)
 
 
 @query("silhouette", over("fraud", """
 select (select count(*) from p) as points, (select count(distinct cluster) from p) as clusters,
-  round(avg(case when own_rows = 1 then 0 else (b - a) / greatest(a, b) end), 6) as silhouette
-from (select id, any_value(m) as own_rows, max(total) filter (mine) / nullif(max(m) filter (mine) - 1, 0) as a, min(total / n) filter (not mine) as b
+  round(avg(case when own_rows = 1 or greatest(a, b) = 0 then 0 else (b - a) / greatest(a, b) end), 6) as silhouette
+from (select id, any_value(m) as own_rows, max(total) filter (mine) / nullif(max(n) filter (mine) - 1, 0) as a, min(total / n) filter (not mine) as b
       from (select d.*, sizes.m from d join p using (id) join sizes on sizes.cluster = p.cluster) group by id)""", **DENSITY, p="""
-select id, cluster, x, y from clusters join z using (id) where cluster <> -1""", sizes="select cluster, count(*) as m from p group by 1", d="""
-select p.id, p.cluster = o.cluster as mine, count(*) as n, sum((p.x - o.x) * (p.x - o.x) + (p.y - o.y) * (p.y - o.y)) as total
+select z.*, cluster from clusters join z using (id) where cluster <> -1 order by md5(cast(id as varchar) || '|42'), id limit 5000""",
+                             sizes="select cluster, count(*) as m from p group by 1", d=f"""
+select p.id, p.cluster = o.cluster as mine, count(*) as n, sum(sqrt({DISTANCE.format(a='p', b='o')})) as total
 from p, p o group by p.id, p.cluster, o.cluster"""))
 def silhouette(spark, sf):
     from ..operators.ml import silhouette as score
 
-    return rounded(score(labelled(spark, sf), ["x", "y"], "cluster"))
+    return rounded(score(labelled(spark, sf), "id", X, "cluster"))
 
 
 GIVEN = """

@@ -44,6 +44,31 @@ def test_dbscan_equals_brute_force(spark, dims):
     assert [got[i][0] for i in range(len(points))] == list(labels)
 
 
+def test_adjacent_cells_in_many_dimensions(spark):
+    random = np.random.default_rng(9)
+    dims = 9
+    boxes = np.unique(np.concatenate([random.integers(-3, 60, (150, dims)) * (np.arange(dims) < 3), random.integers(0, 4, (100, dims))]), axis=0)
+    names = [",".join(map(str, b)) for b in boxes]
+    df = spark.createDataFrame([(n, *map(int, b)) for n, b in zip(names, boxes)], "cell string, " + ", ".join(f"c{i} long" for i in range(dims)))
+    gap = (np.maximum(np.abs(boxes[:, None] - boxes[None]) - 1, 0) ** 2).sum(-1) <= dims
+    want = {(names[i], names[j]) for i, j in zip(*np.nonzero(gap)) if i != j}
+    for leaf_cells in (10, 1000):
+        got = [(r["cell"], r["other"]) for r in cluster.adjacent_cells(df, dims, leaf_cells).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_dbscan_of_the_prepared_matrix(spark, monkeypatch):
+    from callsieve.plans import clusters
+
+    rows = clusters.matrix(spark, "/root/testdata/sf0.01").limit(2000).cache()
+    monkeypatch.setattr(cluster, "LEAF_CELLS", 100)
+    held = sorted(rows.collect(), key=lambda r: r["id"])
+    labels, core = brute_dbscan(np.array([[r[x] for x in clusters.X] for r in held]), 0.6, 10)
+    got = {r["id"]: (r["cluster"], r["is_core"]) for r in cluster.dbscan(rows, "id", clusters.X, 0.6, 10).collect()}
+    assert [got[r["id"]] for r in held] == list(zip(labels, core))
+    assert len(set(labels)) > 2
+
+
 def test_components_of_a_long_chain(spark):
     nodes = spark.range(70).select(F.col("id").alias("node"))
     edges = spark.range(69).filter("id <> 40").select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
