@@ -14,54 +14,64 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 
 def exact_quantiles(
     df: DataFrame, columns: dict[str, Column], probs: list[float], accuracy: int = 10_000,
 ) -> dict[str, list[float | None]]:
     """Quantiles of each named expression; None where there is no value.
 
-    Nulls and NaN are missing values; infinities are the smallest and largest values.
+    Nulls and NaN are missing values; infinities are the smallest and largest values. The expressions are written once; a round
+    takes one sketch per column and bounds, for all wanted ranks between them, and one job of counts for all columns.
     """
-    values = df.select(*[F.nanvl(c.cast("double"), F.lit(None).cast("double")).alias(n) for n, c in columns.items()])
-    names = list(columns)
-    counts = values.agg(*[F.count(n).alias(n) for n in names]).first().asDict() if names else {}
+    names, slack = list(columns), 2.0 / accuracy
+    if not names:
+        return {}
+    values = cut_lineage(df.select(*[F.nanvl(c.cast("double"), F.lit(None).cast("double")).alias(n) for n, c in columns.items()]))
+    around = lambda at: [min(1.0, max(0.0, at + d)) for d in (-slack, slack)]
+    sketch = lambda n, low, high, ats: F.percentile_approx(_inside(n, low, high), F.array(*[F.lit(x) for at in ats for x in around(at)]), accuracy)
+    first = values.agg(*[F.count(n) for n in names], *[sketch(n, None, None, probs) for n in names]).first()
+    counts = dict(zip(names, first[:len(names)]))
 
-    # One entry per (column, rank): open bounds of the values still possible, how many lie below, how many are inside.
+    # Per (column, rank): open bounds of the values still possible, how many lie below, how many are inside, and two values around the rank.
     open_ranks, found = {}, {}
-    for n in names:
-        for p in probs if counts[n] else []:
+    for n, pairs in zip(names, first[len(names):]):
+        for i, p in enumerate(probs if counts[n] else []):
             for rank in {math.floor(p * (counts[n] - 1)), math.ceil(p * (counts[n] - 1))}:
-                open_ranks[n, rank] = (None, None, 0, counts[n])
+                open_ranks[n, rank] = (None, None, 0, counts[n], *pairs[2 * i:2 * i + 2])
     while open_ranks:
-        keys = list(open_ranks)
-        asked = []
-        for i, key in enumerate(keys):
-            low, high, below, inside = open_ranks[key]
-            at, slack = (key[1] - below + 0.5) / inside, 2.0 / accuracy
-            around = F.array(*[F.lit(min(1.0, max(0.0, at + d))) for d in (-slack, slack)])
-            asked.append(F.percentile_approx(_inside(key[0], low, high), around, accuracy).alias(f"q{i}"))
-        pairs = values.agg(*asked).first()
+        asked = list({(n, low, high, a, b) for (n, _), (low, high, _, _, a, b) in open_ranks.items()})
         tallies = []
-        for i, key in enumerate(keys):
-            x = _inside(key[0], *open_ranks[key][:2])
-            a, b = (F.lit(float(v)) for v in pairs[i])
+        for n, low, high, a, b in asked:
+            x, a, b = _inside(n, low, high), F.lit(float(a)), F.lit(float(b))
             tallies += [F.count_if(x < a), F.count_if(x == a), F.count_if((x > a) & (x < b)), F.count_if(x == b)]
         tally = values.agg(*[t.alias(f"t{i}") for i, t in enumerate(tallies)]).first()
-        for i, key in enumerate(keys):
-            low, high, below, inside = open_ranks.pop(key)
-            (a, b), (less, at_a, between, at_b) = pairs[i], tally[4 * i:4 * i + 4]
-            rank = key[1] - below
+        seen = {key: tally[4 * i:4 * i + 4] for i, key in enumerate(asked)}
+        left: dict[tuple, list] = {}
+        for (n, at_rank), (low, high, below, inside, a, b) in open_ranks.items():
+            less, at_a, between, at_b = seen[n, low, high, a, b]
+            rank = at_rank - below
             if rank < less:
-                open_ranks[key] = (low, a, below, less)
+                left.setdefault((n, low, a, below, less), []).append(at_rank)
             elif rank < less + at_a:
-                found[key] = a
+                found[n, at_rank] = a
             elif rank < less + at_a + between:
-                open_ranks[key] = (a, b, below + less + at_a, between)
+                left.setdefault((n, a, b, below + less + at_a, between), []).append(at_rank)
             elif a != b and rank < less + at_a + between + at_b:
-                found[key] = b
+                found[n, at_rank] = b
             else:
                 past = less + at_a + between + (at_b if a != b else 0)
-                open_ranks[key] = (b, high, below + past, inside - past)
+                left.setdefault((n, b, high, below + past, inside - past), []).append(at_rank)
+        open_ranks = {}
+        if left:
+            bounds = list(left)
+            pairs = values.agg(*[sketch(n, low, high, [(rank - below + 0.5) / inside for rank in left[key]]).alias(f"q{i}")
+                                 for i, key in enumerate(bounds) for n, low, high, below, inside in [key]]).first()
+            for key, own in zip(bounds, pairs):
+                n, low, high, below, inside = key
+                for i, rank in enumerate(left[key]):
+                    open_ranks[n, rank] = (low, high, below, inside, *own[2 * i:2 * i + 2])
 
     def interpolated(n: str, p: float) -> float | None:
         if not counts[n]:
