@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bytehash import Substrings
@@ -88,13 +88,19 @@ def chunks(docs: DataFrame, least: int = LEAST, most: int = MOST, cut_bits: int
         cut, "doc_id long, start long, length int, digest long")
 
 
-def passages(docs: DataFrame, span_bytes: int = SPAN_BYTES) -> DataFrame:
-    """The rows of :func:`spans` with ``gone``, the byte ranges (start, n) of a span whose chunks a document with a smaller id keeps."""
-    cut = written(chunks(docs))
+def low_bits(digest: str) -> Column:
+    """32 bits of a digest; sums of them do not overflow."""
+    return F.col(digest).bitwiseAND(F.lit(0xFFFFFFFF))
+
+
+def passages(docs: DataFrame, span_bytes: int = SPAN_BYTES, cut: DataFrame | None = None) -> DataFrame:
+    """The rows of :func:`spans` with ``gone``, the byte ranges (start, n) of a span whose chunks a document with a smaller id keeps, and
+    ``gone_digest``, the sum of those chunks' digests. ``cut``: the chunks, where they are there already."""
+    cut = written(chunks(docs)) if cut is None else cut
     repeated = (cut.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count("*").alias("n"))
                 .filter("first <> last").select("digest", "first", "n"))
     held = cut.join(written(repeated), "digest").groupBy("doc_id", "start").agg(
-        F.max("length").alias("length"), F.min("first").alias("first"), F.max("n").alias("n"))
+        F.max("length").alias("length"), F.min("first").alias("first"), F.max("n").alias("n"), F.min("digest").alias("digest"))
     order = Window.partitionBy("doc_id").orderBy("start")
     dropped = F.col("first") < F.col("doc_id")
     opens = F.when(F.lag(F.col("start") + F.col("length")).over(order) == F.col("start"), 0).otherwise(1)
@@ -103,13 +109,14 @@ def passages(docs: DataFrame, span_bytes: int = SPAN_BYTES) -> DataFrame:
                 .withColumn("span", F.sum("opens").over(order)).withColumn("run", F.sum("turns").over(order)))
     # A run is a part of a span that is kept or dropped as a whole.
     runs = numbered.groupBy("doc_id", "span", "run").agg(
-        F.min("start").alias("start"), F.sum("length").cast("long").alias("n"), F.bool_or(dropped).alias("dropped"),
+        F.min("start").alias("start"), F.sum("length").cast("long").alias("n"), F.bool_or(dropped).alias("dropped"), F.sum(low_bits("digest")).alias("digest"),
         F.count("*").alias("n_chunks"), F.max("n").alias("most_docs"), F.min("first").alias("first_doc_id"))
     return (runs.groupBy("doc_id", "span").agg(
         F.min("start").alias("start_byte"), F.sum("n").alias("n_bytes"),
         F.sum(F.when(F.col("dropped"), F.col("n")).otherwise(0)).alias("n_dropped_bytes"),
         F.sum("n_chunks").alias("n_chunks"), F.max("most_docs").alias("most_docs"), F.min("first_doc_id").alias("first_doc_id"),
-        F.collect_list(F.when(F.col("dropped"), F.struct("start", "n"))).alias("gone"))
+        F.collect_list(F.when(F.col("dropped"), F.struct("start", "n"))).alias("gone"),
+        F.sum(F.when(F.col("dropped"), F.col("digest")).otherwise(0)).alias("gone_digest"))
         .filter(F.col("n_bytes") >= span_bytes).drop("span"))
 
 
@@ -120,7 +127,7 @@ def spans(docs: DataFrame, span_bytes: int = SPAN_BYTES) -> DataFrame:
     n_dropped_bytes are those whose chunks a document with a smaller id keeps. Null and empty texts and null ids have no
     spans. Repeated rows of one id are one document; their spans fall together. An empty table gives an empty result.
     """
-    return passages(docs, span_bytes).drop("gone")
+    return passages(docs, span_bytes).drop("gone", "gone_digest")
 
 
 def without(docs: DataFrame, found: DataFrame) -> DataFrame:
@@ -159,10 +166,15 @@ def deduplicated(docs: DataFrame, span_bytes: int = SPAN_BYTES) -> DataFrame:
 
 
 def report(docs: DataFrame, span_bytes: int = SPAN_BYTES) -> DataFrame:
-    """The spans, each with the length (kept_bytes) and the CRC-32 (kept_digest) of its document's text after :func:`deduplicated`;
-    both are summed over repeated rows of one id."""
-    found = written(passages(docs, span_bytes))
-    kept = without(docs.join(found.select("doc_id").distinct(), "doc_id", "left_semi"), found)
-    facts = kept.groupBy("doc_id").agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).cast("long").alias("kept_bytes"),
-                                       F.sum(F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0))).alias("kept_digest"))
-    return found.drop("gone").join(facts, "doc_id")
+    """The spans, each with the length (kept_bytes) and the sum of the digests (kept_digest) of the chunks that its document keeps.
+
+    No text is moved for that. Both are summed over repeated rows of one id, each of which loses what the document loses. Where a
+    cut parts a character, :func:`deduplicated` keeps its bytes, which are not counted here.
+    """
+    cut = written(chunks(docs))
+    found = written(passages(docs, span_bytes, cut))
+    whole = cut.groupBy("doc_id").agg(F.sum("length").cast("long").alias("bytes"), F.sum(low_bits("digest")).alias("digest"), F.count_if(F.col("start") == 0).alias("rows"))
+    lost = found.groupBy("doc_id").agg(F.sum("n_dropped_bytes").alias("lost_bytes"), F.sum("gone_digest").alias("lost_digest"))
+    facts = lost.join(whole, "doc_id").select(
+        "doc_id", (F.col("bytes") - F.col("rows") * F.col("lost_bytes")).alias("kept_bytes"), (F.col("digest") - F.col("rows") * F.col("lost_digest")).alias("kept_digest"))
+    return found.drop("gone", "gone_digest").join(facts, "doc_id")
