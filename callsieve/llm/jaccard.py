@@ -37,7 +37,7 @@ from .shingles import shingle_sets, slices
 #: Linked: 100 * intersection >= PERCENT * union.
 PERCENT, CROWD, SMALL_K = 80, 8, 3
 BUCKET_SIGNATURES, FLUSH_SHINGLES, CENTRE_ROWS, FILTER_BITS = 800_000, 500_000, 300, 1 << 23
-NODE, PAIR, OTHER, INCIDENCE = 0, 1, 2, 3
+NODE, PAIR, OTHER, INCIDENCE, KEY = 0, 1, 2, 3, 4
 FOUND = "kind int, x long, y long, z long, w int"
 BLOB = "bucket long, kind int, held binary"
 
@@ -144,11 +144,13 @@ def _unpack(held: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
 
 
 def _emit(n_buckets: int, bands: Bands):
-    """Function for mapInArrow over (doc_id, text): packed signatures by bucket, and packed (doc_id, size, node)."""
+    """Function for mapInArrow over (doc_id, text, key): packed signatures by bucket, packed (doc_id, size, node), and (key, node) of one row per node."""
 
     def blobs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(sets: list[np.ndarray], names: list[int], docs: list[tuple]) -> pa.RecordBatch:
+        def out(sets: list[np.ndarray], names: list[int], docs: list[tuple], keys: list[int]) -> pa.RecordBatch:
             rows = []
+            if keys:
+                rows.append((docs[0][2] % n_buckets, KEY, np.array([keys, names], dtype="<i8").tobytes()))
             has_id = np.array([d is not None for d, _, _ in docs], dtype=bool)
             table = np.array([(d or 0, n, x) for d, n, x in docs], dtype="<i8").reshape(-1, 3)
             for known in (True, False):
@@ -181,22 +183,23 @@ def _emit(n_buckets: int, bands: Bands):
             return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()),
                                                pa.array([r[2] for r in rows], pa.binary())], names=["bucket", "kind", "held"])
 
-        sets, names, docs, seen, held = [], [], [], set(), 0
+        sets, names, docs, keys, seen, held = [], [], [], [], set(), 0
         for batch in batches:
             for part in slices(batch, 1):
-                for doc, s in zip(part.column(0).to_pylist(), shingle_sets(part.column(1))):
+                for doc, key, s in zip(part.column(0).to_pylist(), part.column(2).to_pylist(), shingle_sets(part.column(1))):
                     node = digest(s) if len(s) else 0
                     docs.append((doc, len(s), node))
                     if len(s) and node not in seen:
                         seen.add(node)
                         sets.append(s)
                         names.append(node)
+                        keys.append(key)
                         held += len(s)
                 if held > FLUSH_SHINGLES or len(docs) > 100_000:
-                    yield out(sets, names, docs)
-                    sets, names, docs, seen, held = [], [], [], set(), 0
+                    yield out(sets, names, docs, keys)
+                    sets, names, docs, keys, seen, held = [], [], [], [], set(), 0
         if docs:
-            yield out(sets, names, docs)
+            yield out(sets, names, docs, keys)
 
     return blobs
 
@@ -219,6 +222,10 @@ def _meet(key: tuple, rows: pa.Table) -> pa.Table:
             table = np.frombuffer(held, "<i8", offset=1).reshape(-1, 3)
             found.append((NODE, (table[:, 0], table[:, 1], table[:, 2], np.full(len(table), held[0]))))
             continue
+        if kind == KEY:
+            table = np.frombuffer(held, "<i8").reshape(2, -1)
+            found.append((KEY, (table[0], table[1], np.zeros_like(table[0]), np.zeros_like(table[0]))))
+            continue
         bucket = int(np.frombuffer(held, "<i8", 1)[0])
         sig, node, inst, sure = _unpack(held[8:])
         if kind == PAIR:
@@ -266,8 +273,8 @@ def _candidates(docs: DataFrame, percent: int) -> DataFrame:
 
 
 def _filter_words(nodes: DataFrame) -> np.ndarray:
-    """Bit array of a fixed size that marks the documents of ``nodes``; other documents may be marked, too."""
-    bit = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
+    """Bit array of a fixed size that marks the keys of ``nodes``; other rows may be marked, too."""
+    bit = F.pmod(F.xxhash64("key"), F.lit(FILTER_BITS))
     rows = (nodes.select(bit.alias("bit")).groupBy(F.floor(F.col("bit") / 64).alias("word"))
             .agg(F.expr("bit_or(shiftleft(1L, cast(bit % 64 as int)))").alias("bits")).toPandas())
     words = np.zeros(FILTER_BITS // 64, dtype=np.int64)
@@ -278,7 +285,7 @@ def _filter_words(nodes: DataFrame) -> np.ndarray:
 def _compared(docs: DataFrame, firsts: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """Whether the nodes of ``pairs`` (a, b, wanted) are linked: a, b, linked, n_a, n_b and, where wanted, the elements of one set only.
 
-    ``firsts``: a document of each node (node, doc_id).
+    ``firsts``: the key of a row of each node (node, key). Rows may share a key; a text that does not give the node is passed over.
     """
     pairs = written(pairs.groupBy("a", "b").agg(F.max("wanted").alias("wanted")))
     # Pairs meet at their first node; a node with many partners is dealt over several places.
@@ -300,6 +307,8 @@ def _compared(docs: DataFrame, firsts: DataFrame, pairs: DataFrame, percent: int
             for part in slices(batch, 3):
                 out: list[tuple] = []
                 for node, centre, role, own in zip(*(part.column(c).to_pylist() for c in range(3)), shingle_sets(part.column(3))):
+                    if not len(own) or digest(own) != node:
+                        continue
                     if role == 0:
                         name, lead = centre, own
                     elif name == centre:
@@ -314,10 +323,9 @@ def _compared(docs: DataFrame, firsts: DataFrame, pairs: DataFrame, percent: int
                     [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.list_(pa.int64())))],
                     names=["a", "b", "linked", "n_a", "n_b", "apart"])
 
-    bit = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
-    held = docs.filter("doc_id is not null").select("doc_id", "text", bit.alias("bit")).mapInArrow(marked, "doc_id long, text string")
-    routed = held.join(routes, "doc_id").repartition("a", "place").sortWithinPartitions("a", "place", "role")
-    # A document that only looks marked can bring a node twice.
+    bit = F.pmod(F.xxhash64("key"), F.lit(FILTER_BITS))
+    held = docs.select("key", "text", bit.alias("bit")).mapInArrow(marked, "key long, text string")
+    routed = held.join(routes, "key").repartition("a", "place").sortWithinPartitions("a", "place", "role")
     return written(routed.select("node", "a", "role", "text").mapInArrow(
         compare, "a long, b long, linked boolean, n_a long, n_b long, apart array<bigint>"))
 
@@ -371,10 +379,13 @@ def joined(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     equal sets and are linked. Rows with a null id are linked as any other; they do not give a component its id, and one in a
     component of null ids alone gets null. An empty table gives an empty result.
     """
-    own = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    doc_id = F.col("doc_id").cast("long")
+    own = small_batches(docs).select(doc_id.alias("doc_id"), "text", F.xxhash64(doc_id, "text").alias("key"))
     found = _candidates(own, percent)
     rows = found.filter(f"kind = {NODE}").select(F.expr("case when w = 1 then x end").alias("doc_id"), F.col("y").alias("n_shingles"), F.col("z").alias("node"))
-    firsts = written(rows.filter("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id")))
+    least = written(rows.filter("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id")))
+    # A row of each node brings its text; told apart by id and text, since ids may be null or shared.
+    firsts = written(found.filter(f"kind = {KEY}").groupBy(F.col("y").alias("node")).agg(F.min("x").alias("key")))
     members = found.filter(f"kind = {INCIDENCE}").select(F.col("x").alias("sig"), F.col("y").alias("node"), F.col("z").alias("inst"), F.col("w").alias("sure")).distinct()
     members = written(members)
     hidden = written(members.groupBy("node", "inst").agg(F.count("*").alias("n"), F.min("sure").alias("sure")))
@@ -410,7 +421,7 @@ def joined(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     more = rest.union(_by_differences(apart, percent)).withColumn("wanted", F.lit(False))
     links = links.union(_compared(own, firsts, more, percent).filter("linked").select("a", "b"))
     labels = components(links)
-    named = labelled(firsts, labels, "node", "label")
+    named = labelled(least, labels, "node", "label")
     ids = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     names = written(named.join(ids, "label").select("node", "component_id"))
     return rows.join(names, "node", "left").select(
