@@ -273,7 +273,7 @@ def fit(docs: DataFrame, labels: DataFrame, evidence_rows: int = EVIDENCE_ROWS,
     # Of texts that share the smallest hash of their word triples, near copies mostly, one counts: else the words of a text with
     # many copies would look toxic.
     once = (sample.withColumn("toxic", F.col("toxic").cast("int")).mapInArrow(sketch, "key long, text string, toxic int")
-            .dropDuplicates(["key"]).select("text", "toxic"))
+            .groupBy("key").agg(F.min_by(F.struct("text", "toxic"), F.struct(F.xxhash64("text", "toxic"), "text")).alias("one")).select("one.*"))
     counted = (once.mapInArrow(count, "feature string, n long, n_toxic long").groupBy("feature")
                .agg(F.sum("n").alias("n"), F.sum("n_toxic").alias("n_toxic")))
     # Only features nearly bound to toxic documents come to the driver; a bounded sample holds a bounded number.
@@ -328,6 +328,7 @@ def tagged(docs: DataFrame, labels: DataFrame) -> DataFrame:
         for batch in batches:
             for part in slices(batch, 1):
                 scores, spans = tagger.tag(part.column(1).to_pylist())
+                scores = [round(float(s), 12) for s in scores]  # the last digits depend on which texts are tagged together
                 out = pa.array([[{"start": a, "end": b} for a, b in s] for s in spans], kind)
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32()), out],
