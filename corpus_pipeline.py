@@ -31,10 +31,10 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near copies, the one with the smallest id; rows without words are no copies and all stay.
 
-    Rows are told apart by id and text. A null id is no id that rows share: such rows stay unless their texts are near copies, and
+    Rows are told apart by all their columns. A null id is no id that rows share: such rows stay unless their texts are near copies, and
     stand behind any id in a group. Different texts with one id are different documents.
     """
-    keyed = docs.withColumn("_key", F.xxhash64("doc_id", "text"))
+    keyed = docs.withColumn("_key", F.xxhash64(*[F.struct(F.col(c).isNull(), c) for c in COLUMNS]))
     groups = written(jaccard.joined(keyed.select(F.col("_key").alias("doc_id"), "text")).select(
         F.col("doc_id").alias("_key"), F.col("n_shingles").alias("_n"), "component_id").distinct())
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_key"))
@@ -42,7 +42,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     kept = leads.select(F.col("lead._key").alias("_key"), F.lit(True).alias("_once")).unionByName(
         groups.filter("_n = 0").select("_key", F.lit(False).alias("_once")))
     rows = keyed.join(kept, "_key")
-    # Of rows with one id and one text the first stays.
+    # Of equal rows one stays.
     return rows.filter("_once").dropDuplicates(["_key"]).unionByName(rows.filter("not _once")).select(*COLUMNS)
 
 
