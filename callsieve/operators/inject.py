@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from .prefix import numbered
-from .profile import missing
+from .profile import long_form, missing
 
 # Rate ranges per profile, and how strongly each column is hit within the range.
 PROFILES = {
@@ -59,7 +59,7 @@ ERROR_VALUES = {
 
 
 def rate(span: tuple[float, float], weight: float) -> float:
-    return span[0] + (span[1] - span[0]) * weight
+    return round(span[0] + (span[1] - span[0]) * weight, 12)  # 0.112, not 0.11199999999999999
 
 
 def cell_hash(id_col: str, column: Column, seed: int) -> Column:
@@ -135,9 +135,24 @@ def corrupt(df: DataFrame, id_col: str, profile: str = "medium") -> DataFrame:
     return inject_junk_rows(inject_duplicates(wrong, id_col, profile), id_col, df.count(), profile)
 
 
-def corruption_delta(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Missing share per column before and after."""
+def corruption_delta(before: DataFrame, after: DataFrame, id_col: str) -> DataFrame:
+    """Per column: missing share before and after, how many cells of the given rows were emptied or made wrong, and the share of them.
+
+    Rows are matched by id, which ``before`` has once each; copies and junk rows count for the shares only.
+    """
     old = missing(before).select("column", F.col("missing_pct").alias("missing_before_pct"))
     new = missing(after).select("column", F.col("missing_pct").alias("missing_after_pct"))
-    return old.join(new, "column").withColumn(
-        "delta_pct", F.round(F.col("missing_after_pct") - F.col("missing_before_pct"), 2))
+    columns = [c for c in before.columns if c != id_col]
+    left = before.select(id_col, *[F.col(c).alias(f"b_{c}") for c in columns])
+    first = after.groupBy(id_col).agg(*[F.first(c).alias(f"a_{c}") for c in columns])  # copies of a row are equal
+    both = left.join(first, id_col)
+    emptied = {c: F.count_if(F.col(f"b_{c}").isNotNull() & F.col(f"a_{c}").isNull()) for c in columns}
+    changed = {c: F.count_if(F.col(f"b_{c}") != F.col(f"a_{c}")) for c in columns}
+    row = both.agg(*[f.alias(f"{c}__{n}") for n, fs in (("n_emptied", emptied), ("n_wrong", changed)) for c, f in fs.items()],
+                   *[F.count(f"b_{c}").alias(f"{c}__n_filled") for c in columns])
+    injected = long_form(row, columns, ["n_emptied", "n_wrong", "n_filled"])
+    share = F.coalesce(F.round(F.try_divide(F.col("n_emptied") + F.col("n_wrong"), F.col("n_filled")) * 100, 2), F.lit(0.0))
+    return old.join(new, "column").join(injected, "column", "left").select(
+        "column", "missing_before_pct", "missing_after_pct", F.round(F.col("missing_after_pct") - F.col("missing_before_pct"), 2).alias("delta_pct"),
+        F.coalesce("n_emptied", F.lit(0)).alias("n_emptied"), F.coalesce("n_wrong", F.lit(0)).alias("n_wrong"),
+        F.coalesce(share, F.lit(0.0)).alias("injected_pct"))

@@ -27,6 +27,11 @@ def long_form(one_row: DataFrame, columns: list[str], measures: list[str], name:
     ])).alias("r")).select("r.*")
 
 
+def picked(df: DataFrame, columns: list[str] | None, target: str | None = None) -> list[str]:
+    """The named columns, or all numeric ones but the target."""
+    return numeric_columns(df, target) if columns is None else columns
+
+
 def pct(part: Column, whole: Column) -> Column:
     return F.coalesce(F.round(F.try_divide(part, whole) * 100, 2), F.lit(0.0))
 
@@ -46,8 +51,9 @@ def duplicates(df: DataFrame) -> DataFrame:
         "duplicate_pct", pct(F.col("duplicates"), F.col("rows")))
 
 
-def iqr_outliers(df: DataFrame, columns: list[str], guarded: bool = False, flag_above: float = 5.0) -> DataFrame:
+def iqr_outliers(df: DataFrame, columns: list[str] | None = None, guarded: bool = False, flag_above: float = 5.0) -> DataFrame:
     """Values beyond 1.5 IQR; ``guarded`` reports none below 5 values or for an IQR of 0."""
+    columns = picked(df, columns)
     quarters = exact_quantiles(df, {c: F.col(c) for c in columns}, [0.25, 0.75])
     cells = []
     for c, (q1, q3) in quarters.items():
@@ -62,8 +68,9 @@ def iqr_outliers(df: DataFrame, columns: list[str], guarded: bool = False, flag_
             .withColumn("flagged", F.coalesce(F.try_divide("outliers", "values") * 100 > flag_above, F.lit(False))))
 
 
-def z_extremes(df: DataFrame, columns: list[str], limit: float = 3.0) -> DataFrame:
+def z_extremes(df: DataFrame, columns: list[str] | None = None, limit: float = 3.0) -> DataFrame:
     """Values with |z| > limit; columns without spread are left out."""
+    columns = picked(df, columns)
     stats = df.agg(*[f(c).alias(f"{c}__{i}") for c in columns for i, f in enumerate((F.avg, F.stddev_pop))]).first()
     spread = [c for c in columns if stats[f"{c}__1"]]
     row = df.agg(F.count("*").alias("_rows"), *[
@@ -71,8 +78,9 @@ def z_extremes(df: DataFrame, columns: list[str], limit: float = 3.0) -> DataFra
     return long_form(row, spread, ["extremes"])
 
 
-def describe(df: DataFrame, columns: list[str]) -> DataFrame:
+def describe(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Exact count, mean, sample deviation, minimum, quartiles and maximum per column."""
+    columns = picked(df, columns)
     quarters = exact_quantiles(df, {c: F.col(c) for c in columns}, [0.25, 0.5, 0.75])
     plain = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
     row = df.agg(*[f(F.col(c).cast("double") if m in ("min", "max") else c).alias(f"{c}__{m}")
@@ -136,8 +144,9 @@ def histogram(df: DataFrame, column: str, label: str, bins: int = 50) -> DataFra
         F.coalesce(F.try_divide(F.col("n"), F.col("total") * F.col("width")), F.lit(0.0)).alias("density"))
 
 
-def correlation_pairs(df: DataFrame, columns: list[str], strong_above: float = 0.9) -> DataFrame:
+def correlation_pairs(df: DataFrame, columns: list[str] | None = None, strong_above: float = 0.9) -> DataFrame:
     """Pearson correlation of every pair of columns, in one aggregation."""
+    columns = picked(df, columns)
     pairs = list(combinations(columns, 2))
     row = df.agg(*[F.corr(a, b).alias(f"{a}/{b}") for a, b in pairs])
     return row.select(F.explode(F.array(*[
@@ -145,8 +154,9 @@ def correlation_pairs(df: DataFrame, columns: list[str], strong_above: float = 0
     ])).alias("p")).select("p.*", (F.abs("p.r") > strong_above).alias("strong"))
 
 
-def box_stats(df: DataFrame, columns: list[str], label: str, classes: list) -> DataFrame:
+def box_stats(df: DataFrame, columns: list[str] | None, label: str, classes: list) -> DataFrame:
     """Minimum, quartiles and maximum per column and class."""
+    columns = picked(df, columns, label)
     parts = {(c, v): F.when(F.col(label) == v, F.col(c)) for c in columns for v in classes}
     found = exact_quantiles(df, {f"{c}__{i}": e for i, ((c, _), e) in enumerate(parts.items())}, [0, 0.25, 0.5, 0.75, 1])
     counts = df.groupBy(label).agg(*[F.count(c).alias(f"{c}__n") for c in columns]).filter(F.col(label).isin(classes))
@@ -164,7 +174,7 @@ def raw_clean_report(raw: DataFrame, prepared: DataFrame, label: str = "Label")
     """Long-form comparison (section, column, metric, value) of a raw fraud table and its prepared form."""
     num = {c: F.col(c).try_cast("double") for c in ("Report_Count", "Financial_Loss", label)}
     raw_row = raw.agg(
-        F.count("*").alias("rows"), F.count_if(num[label].isNull()).alias("invalid_label_rows"),
+        F.count("*").alias("rows"), F.lit(len(raw.columns)).alias("columns"), F.count_if(num[label].isNull()).alias("invalid_label_rows"),
         F.count_if(num[label] == 0).alias("label_0_rows"), F.count_if(num[label] == 1).alias("label_1_rows"),
         F.count_if(num["Report_Count"] < 0).alias("negative_report_count_rows"),
         F.count_if(num["Financial_Loss"] < 0).alias("negative_financial_loss_rows"))
@@ -175,14 +185,16 @@ def raw_clean_report(raw: DataFrame, prepared: DataFrame, label: str = "Label")
         F.count_if(F.col(label) == 1).alias("class_1_rows"), F.sum(gaps).alias("missing_cells"),
         F.lit(len(features)).alias("columns"))
     clean_row = clean_row.withColumn("imbalance_0_to_1", F.round(
-        F.col("class_0_rows") / F.greatest("class_1_rows", F.lit(1)), 4))
+        F.col("class_0_rows") / F.greatest("class_1_rows", F.lit(1)), 4)).withColumn("any_missing", (F.coalesce("missing_cells", F.lit(0)) > 0).cast("int"))
 
     def tall(row: DataFrame, section: str) -> DataFrame:
         return row.select(F.explode(F.array(*[F.struct(
             F.lit(section).alias("section"), F.lit("").alias("column"), F.lit(m).alias("metric"),
             F.col(m).cast("double").alias("value")) for m in row.columns])).alias("r")).select("r.*")
 
-    gone = missing(raw).filter("missing_pct >= 5").select(
+    gaps_of = missing(raw)
+    shares = gaps_of.select(F.lit("raw").alias("section"), "column", F.lit("missing_pct").alias("metric"), F.col("missing_pct").alias("value"))
+    gone = gaps_of.filter("missing_pct >= 5").select(
         F.lit("raw").alias("section"), "column", F.lit("high_missing_pct").alias("metric"), F.col("missing_pct").alias("value"))
     typed = raw.select(*[num[c].alias(c) for c in ("Report_Count", "Financial_Loss")])
     outliers = iqr_outliers(typed, ["Report_Count", "Financial_Loss"], guarded=True).select(
@@ -191,5 +203,5 @@ def raw_clean_report(raw: DataFrame, prepared: DataFrame, label: str = "Label")
     kept = prepared.agg(F.count("*").alias("kept")).select(
         (raw_row.select("rows").scalar() - F.col("kept")).alias("rows_dropped"),
         F.round(F.col("kept") / F.greatest(raw_row.select("rows").scalar(), F.lit(1)) * 100, 3).alias("rows_retained_pct"))
-    return (tall(raw_row, "raw").unionByName(gone).unionByName(outliers)
+    return (tall(raw_row, "raw").unionByName(shares).unionByName(gone).unionByName(outliers)
             .unionByName(tall(clean_row, "clean")).unionByName(tall(kept, "diff")))

@@ -84,10 +84,9 @@ def strip_salt(key: Column) -> Column:
 
 
 def partition_load(partials: DataFrame, partitions: int = 32) -> DataFrame:
-    """Rows per md5 bucket of the salted key, the documented partition id of a record."""
-    key = salted_key(F.col("phone_number"), F.col("salt"))
-    return partials.groupBy(bucket_of(key, partitions).alias("partition_id")).agg(
-        F.sum("call_count").alias("records"))
+    """Records that each partition gets when Spark deals the salted keys by hash."""
+    dealt = partials.repartition(partitions, "phone_number", "salt")
+    return dealt.groupBy(F.spark_partition_id().alias("partition_id")).agg(F.sum("call_count").alias("records"))
 
 
 def skew_report(df: DataFrame, threshold: int = 1000, salts: int = 32, partitions: int = 32) -> DataFrame:

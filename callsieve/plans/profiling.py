@@ -8,11 +8,13 @@ from ..operators import clean
 from ..operators import profile as ops
 from ..sources import views
 from .cleaning import CHAIN, TYPED
-from .oracle_views import over
+from .oracle_views import VIEWS, over
 from .registry import query
 
 RAW_COLUMNS = ["Phone_Number", "Report_Count", "Financial_Loss", "Age_Group", "Education", "Cluster_ID", "Label"]
-LINE = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+#: What the automatic choice of numeric columns takes from the tables.
+LINE = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+EVENT_NUMBERS = ["event_id", "user_id", "value", "k"]
 
 
 def each(parts: list[str]) -> str:
@@ -30,34 +32,34 @@ def profile_missing(spark, sf):
 @query("profile_duplicates", """
 select (select count(*) from lineitem) as rows, (select count(*) from lineitem) - count(*) as duplicates,
   round(((select count(*) from lineitem) - count(*)) / (select count(*) from lineitem) * 100, 2) as duplicate_pct
-from (select distinct l_partkey % 50 as p, l_quantity as q, l_discount as d from lineitem)""")
+from (select distinct * from lineitem)""")
 def profile_duplicates(spark, sf):
-    return ops.duplicates(views.table(spark, sf, "lineitem").selectExpr("l_partkey % 50 as p", "l_quantity", "l_discount"))
+    return ops.duplicates(views.table(spark, sf, "lineitem"))
 
 
-@query("profile_outliers_iqr", each([f"""
+@query("profile_outliers_iqr", over("", each([f"""
 select '{c}' as "column", count({c}) as "values", count(*) filter (out) as outliers,
   round(count(*) filter (out) / count({c}) * 100, 2) as outlier_pct, count(*) filter (out) / count({c}) > 0.05 as flagged
-from (select {c}, {c} < q1 - 1.5 * (q3 - q1) or {c} > q3 + 1.5 * (q3 - q1) as out from {t},
-  (select quantile_cont({c}, 0.25) as q1, quantile_cont({c}, 0.75) as q3 from {t}))"""
-    for c, t in (("value", "events"), ("user_id", "events"))]))
+from (select {c}, {c} < q1 - 1.5 * (q3 - q1) or {c} > q3 + 1.5 * (q3 - q1) as out from ev,
+  (select quantile_cont({c}, 0.25) as q1, quantile_cont({c}, 0.75) as q3 from ev))"""
+    for c in EVENT_NUMBERS]), ev=VIEWS["ev"]))
 def profile_outliers_iqr(spark, sf):
-    return ops.iqr_outliers(views.events(spark, sf), ["value", "user_id"])
+    return ops.iqr_outliers(views.events(spark, sf))
 
 
-@query("profile_outliers_z", each([f"""
+@query("profile_outliers_z", over("", each([f"""
 select '{c}' as "column", count(*) filter (abs(({c} - m) / s) > 3) as extremes
-from events, (select avg({c}) as m, stddev_pop({c}) as s from events)""" for c in ("value", "user_id")]))
+from ev, (select avg({c}) as m, stddev_pop({c}) as s from ev)""" for c in EVENT_NUMBERS]), ev=VIEWS["ev"]))
 def profile_outliers_z(spark, sf):
-    return ops.z_extremes(views.events(spark, sf), ["value", "user_id"])
+    return ops.z_extremes(views.events(spark, sf))
 
 
 @query("profile_describe", each([f"""
 select '{c}' as "column", count({c}) as count, round(avg({c}), 4) as mean, round(stddev_samp({c}), 4) as std,
-  round(min({c}), 4) as min, round(quantile_cont({c}, 0.25), 4) as q25, round(median({c}), 4) as q50,
-  round(quantile_cont({c}, 0.75), 4) as q75, round(max({c}), 4) as max from lineitem""" for c in LINE]))
+  round(min({c})::double, 4) as min, round(quantile_cont({c}::double, 0.25), 4) as q25, round(median({c}::double), 4) as q50,
+  round(quantile_cont({c}::double, 0.75), 4) as q75, round(max({c})::double, 4) as max from lineitem""" for c in LINE]))
 def profile_describe(spark, sf):
-    table = ops.describe(views.table(spark, sf, "lineitem"), LINE)
+    table = ops.describe(views.table(spark, sf, "lineitem"))
     return table.withColumns({c: F.round(c, 4) for c in ("mean", "std", "min", "q25", "q50", "q75", "max")})
 
 
@@ -109,15 +111,15 @@ def histogram_by_class(spark, sf):
 select '{a}' as column_a, '{b}' as column_b, round(corr({a}, {b}), 6) as r, abs(corr({a}, {b})) > 0.9 as strong
 from lineitem""" for i, a in enumerate(LINE) for b in LINE[i + 1:]]))
 def correlation_pairs(spark, sf):
-    return ops.correlation_pairs(views.table(spark, sf, "lineitem"), LINE).withColumn("r", F.round("r", 6))
+    return ops.correlation_pairs(views.table(spark, sf, "lineitem")).withColumn("r", F.round("r", 6))
 
 
-@query("box_stats", over("scores", """
-select label, 'score' as "column", count(score) as n, round(min(score), 6) as min, round(quantile_cont(score, 0.25), 6) as q1,
-  round(median(score), 6) as median, round(quantile_cont(score, 0.75), 6) as q3, round(max(score), 6) as max
-from scores group by label"""))
+@query("box_stats", over("scores", each([f"""
+select label, '{c}' as "column", count({c}) as n, round(min({c})::double, 6) as min, round(quantile_cont({c}::double, 0.25), 6) as q1,
+  round(median({c}::double), 6) as median, round(quantile_cont({c}::double, 0.75), 6) as q3, round(max({c})::double, 6) as max
+from scores group by label""" for c in ("event_id", "user_id", "score")])))
 def box_stats(spark, sf):
-    table = ops.box_stats(views.scores(spark, sf), ["score"], "label", [0, 1])
+    table = ops.box_stats(views.scores(spark, sf), None, "label", [0, 1])
     return table.withColumns({c: F.round(c, 6) for c in ("min", "q1", "median", "q3", "max")})
 
 
@@ -128,12 +130,14 @@ def metric(section: str, name: str, expr: str, source: str, column: str = "") ->
 
 NUM = "try_cast({} as double)"
 RAW_METRICS = [
-    metric("raw", "rows", "count(*)", "fraud"),
+    metric("raw", "rows", "count(*)", "fraud"), metric("raw", "columns", str(len(RAW_COLUMNS)), "(select 1)"),
     metric("raw", "invalid_label_rows", "count(*) filter (try_cast(Label as double) is null)", "fraud"),
     metric("raw", "label_0_rows", "count(*) filter (try_cast(Label as double) = 0)", "fraud"),
     metric("raw", "label_1_rows", "count(*) filter (try_cast(Label as double) = 1)", "fraud"),
     metric("raw", "negative_report_count_rows", "count(*) filter (try_cast(Report_Count as double) < 0)", "fraud"),
     metric("raw", "negative_financial_loss_rows", "count(*) filter (try_cast(Financial_Loss as double) < 0)", "fraud"),
+] + [
+    metric("raw", "missing_pct", f"round(count(*) filter ({c} is null) / count(*) * 100, 2)", "fraud", c) for c in RAW_COLUMNS
 ] + [
     f"select 'raw', '{c}', 'high_missing_pct', p from (select round(count(*) filter ({c} is null) / count(*) * 100, 2) as p"
     f" from fraud) where p >= 5" for c in RAW_COLUMNS
@@ -144,6 +148,7 @@ RAW_METRICS = [
 ] + [
     metric("clean", "rows", "count(*)", "derived"), metric("clean", "class_0_rows", "count(*) filter (Label = 0)", "derived"),
     metric("clean", "class_1_rows", "count(*) filter (Label = 1)", "derived"), metric("clean", "missing_cells", "0", "(select 1)"),
+    metric("clean", "any_missing", "0", "(select 1)"),
     metric("clean", "columns", "5 + count(distinct Age_Group) + count(distinct Education)", "derived"),
     metric("clean", "imbalance_0_to_1",
            "round(count(*) filter (Label = 0) / greatest(count(*) filter (Label = 1), 1), 4)", "derived"),

@@ -72,5 +72,7 @@ def test_corruption_report(spark):
     after = inject.corrupt(before, "ticket_id", "medium")
     assert after.count() == 500 + 15 + 5
     assert profile.duplicates(after).first()["duplicates"] == 15
-    delta = {r["column"]: r["delta_pct"] for r in inject.corruption_delta(before, after).collect()}
+    found = {r["column"]: r for r in inject.corruption_delta(before, after, "ticket_id").collect()}
+    delta = {c: r["delta_pct"] for c, r in found.items()}
+    assert found["method"]["n_emptied"] == 90 and found["state"]["n_wrong"] > 0 and found["ticket_id"]["injected_pct"] == 0
     assert delta["method"] > 10 and delta["ticket_id"] == 0
