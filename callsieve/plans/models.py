@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import dataset, ml
+from ..operators import dataset, explain, ml
 from ..operators.complaints import FEATURES
 from ..session import cut_lineage
 from ..sources import views
@@ -63,6 +63,14 @@ def feature_importance_top10(spark, sf):
     return ml.importances(model, FEATURES, spark)
 
 
+@query("boosted_importance_top10")
+def boosted_importance_top10(spark, sf):
+    """The features that move the boosted trees' margin most, by exact Shapley values over all training rows."""
+    rows = training(spark, sf)
+    explained = explain.contributions(FITS["boosted_trees"](rows, FEATURES), rows, FEATURES)
+    return rounded(explain.importances(explained, FEATURES))
+
+
 @query("score_numbers")
 def score_numbers(spark, sf):
     model = ml.fit_lr(training(spark, sf), FEATURES)
