@@ -10,8 +10,9 @@ An empty partition says nothing. n is chosen so that nearly every set has fewer
 empty, and empty ones are left out. The few other sets send them too.
 
 A signature that more than ``CROWD`` sets share is crowded, and its sets are not paired. A set with fewer crowded signatures than it is sure to agree on finds all
-its partners by the others. For the rest (large groups of near copies, mostly), all that is missing is what joins components: each set is compared with the
-least changed member of each crowded signature. Two sets of a group that are still in different components can only be linked if their
+its partners by the others. The rest (large groups of near copies, mostly) take part in their rarest crowded signatures, as many as two sets that agree on crowded
+ones alone need to have one of those in common. All that is missing is what joins components: each set is compared with the
+least changed member of each such signature. Two sets of a group that are still in different components can only be linked if their
 differences from that member overlap, which a prefix filter over rare elements finds (:func:`_by_differences`).
 
 Equal sets are one node from the start, named by a 64-bit digest. Signatures travel as packed arrays, one per task and bucket, and
@@ -339,18 +340,26 @@ def _by_differences(spokes: DataFrame, percent: int) -> DataFrame:
     the two sends no more elements than its largest prefix for any larger partner, which are mostly elements of its own.
     """
     share = F.lit((100 - percent) / (100 + percent))
-    rows = written(spokes.select("a", "b", "label", "linked", "n_a", "n_b", F.size("apart").alias("d"), F.explode("apart").alias("e")))
-    often = rows.groupBy("a", "e").agg(F.count("*").alias("often")).filter("often > 1")
-    place = F.row_number().over(Window.partitionBy("a", "b").orderBy(F.coalesce("often", F.lit(1)), "e")) - 1
-    placed = rows.join(often, ["a", "e"], "left").withColumn("place", place).filter("often > 1")
+    spoke = F.xxhash64("a", "b").alias("spoke")
+    spokes = written(spokes.select(spoke, "a", "b", "label", "linked", "n_a", "n_b", "apart"))
+    facts = spokes.select("spoke", "b", "label", "linked", "n_a", "n_b", F.size("apart").alias("d"))
+    # An element of a lead's group is one number; those that two groups share by chance only add pairs to verify.
+    rows = spokes.select("spoke", "a", "label", F.explode("apart").alias("_e")).select("spoke", "label", F.xxhash64("a", "_e").alias("e"))
+    # Elements that only one component holds come first in the order and need not be moved again.
+    often = (rows.groupBy("e").agg(F.count("*").alias("often"), F.min("label").alias("low"), F.max("label").alias("high"))
+             .filter("low <> high").select("e", "often"))
+    own = Window.partitionBy("spoke")
+    placed = (rows.select("spoke", "e").join(often, "e")
+              .select("spoke", "e", (F.row_number().over(own.orderBy("often", "e")) - 1).alias("after"), F.count("*").over(own).alias("kept"))
+              .join(facts, "spoke").withColumn("place", (F.col("d") - F.col("kept") + F.col("after")).cast("int")))
     # Least size of a larger partner's difference: its own, and if it is linked with P, what keeps the partner from being linked.
     least = F.greatest(F.col("d"), F.when(F.col("linked"), F.floor(F.col("n_a") * (2 * share / (1 + share))) + 1).otherwise(0))
     overlap = F.greatest(F.lit(1), F.ceil((least * (1 - share) - (F.col("n_a") + F.col("n_b")) * share + F.col("d")) / 2 - 1e-6))
     columns = ["b", "label", "n_b", "d", "place"]
-    large = written(placed.select("a", "e", *columns))
-    small = written(placed.filter(F.col("place") <= F.col("d") - overlap).select("a", "e", *[F.col(c).alias(f"s_{c}") for c in columns]))
+    large = written(placed.select("e", *columns, (F.col("place") <= F.col("d") - overlap).alias("sent")))
+    small = large.filter("sent").select("e", *[F.col(c).alias(f"s_{c}") for c in columns])
     needed = F.ceil((F.col("d") + F.col("s_d") - F.floor((F.col("n_b") + F.col("s_n_b")) * share + 1e-6)) / 2)
-    return (small.join(large, ["a", "e"])
+    return (small.join(large.drop("sent"), "e")
             .filter((F.struct("s_d", "s_b") < F.struct("d", "b")) & (F.col("label") != F.col("s_label"))
                     & (F.col("s_place") <= F.col("s_d") - needed) & (F.col("place") <= F.col("d") - needed))
             .select(F.col("s_b").alias("a"), F.col("b")).distinct())
@@ -399,16 +408,22 @@ def joined(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
                     .filter(F.col("times") >= F.col(f"sure_{side}") - F.coalesce("n_crowded", F.lit(0))).drop("n_crowded"))
     pairs = written(agreeing.groupBy("a", "b").agg(F.min("kind").alias("kind")))
     # Members of crowded signatures matter for sets that have as many of those as they are sure to agree on.
-    members = written(members.join(hidden.filter("n >= sure").select("node", "inst"), ["node", "inst"]).select("sig", "node").distinct())
+    members = written(members.join(hidden.filter("n >= sure").select("node", "inst", "n", F.col("sure").alias("least")), ["node", "inst"])
+                      .select("sig", "node", "inst", "n", "least").distinct())
+    crowds = written(members.groupBy("sig").agg(F.count("*").alias("crowd"), F.max_by("node", F.struct("n", "node")).alias("lead")))
+    # Sets that agree on crowded signatures alone share as many as either is sure of, so that their rarest n - sure + 1 have one in common.
+    rarest = Window.partitionBy("node", "inst").orderBy("crowd", "sig")
+    near = (members.join(crowds, "sig").withColumn("place", F.row_number().over(rarest))
+            .filter("place <= n - least + 1").select("sig", "node", "lead"))
+    near = written(near)
+    shared = near.groupBy("sig").agg(F.count("*").alias("left")).filter("left > 1").select("sig")
 
     def labelled(rows: DataFrame, labels: DataFrame, name: str, to: str) -> DataFrame:
         return rows.join(labels.select(F.col("node").alias(name), F.col("label").alias("_label")), name, "left").withColumn(
             to, F.coalesce("_label", name)).drop("_label")
 
-    # The member with most crowded signatures is the least changed one of its group, and so near to most.
-    strength = members.groupBy("node").agg(F.count("*").alias("strength"))
-    leads = members.join(strength, "node").groupBy("sig").agg(F.max_by("node", F.struct("strength", "node")).alias("lead"))
-    spokes = members.join(written(leads), "sig").filter("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b"), F.lit(True).alias("wanted"))
+    # The lead, the member with most crowded signatures, is the least changed one of its group, and so near to most.
+    spokes = near.join(shared, "sig", "left_semi").filter("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b"), F.lit(True).alias("wanted"))
     firm = pairs.filter(f"kind = {PAIR}").select("a", "b", F.lit(False).alias("wanted"))
     compared = _compared(own, firsts, firm.union(spokes), percent)
     links = compared.filter("linked").select("a", "b")
