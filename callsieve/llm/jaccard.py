@@ -303,7 +303,7 @@ def _compared(docs: DataFrame, firsts: DataFrame, pairs: DataFrame, percent: int
             yield batch.filter(pa.array((words.value[at // 64] >> (at % 64)) & 1 == 1)).select([0, 1])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name, lead = None, np.zeros(0, np.uint64)
+        name, lead, last = None, np.zeros(0, np.uint64), None
         for batch in batches:
             for part in slices(batch, 3):
                 out: list[tuple] = []
@@ -312,7 +312,8 @@ def _compared(docs: DataFrame, firsts: DataFrame, pairs: DataFrame, percent: int
                         continue
                     if role == 0:
                         name, lead = centre, own
-                    elif name == centre:
+                    elif name == centre and last != (centre, node):  # equal rows bring a text several times
+                        last = (centre, node)
                         few, many = (own, lead) if len(own) < len(lead) else (lead, own)
                         at = np.minimum(np.searchsorted(many, few), len(many) - 1)
                         both = int(np.count_nonzero(many[at] == few))
@@ -326,7 +327,7 @@ def _compared(docs: DataFrame, firsts: DataFrame, pairs: DataFrame, percent: int
 
     bit = F.pmod(F.xxhash64("key"), F.lit(FILTER_BITS))
     held = docs.select("key", "text", bit.alias("bit")).mapInArrow(marked, "key long, text string")
-    routed = held.join(routes, "key").repartition("a", "place").sortWithinPartitions("a", "place", "role")
+    routed = held.join(routes, "key").repartition("a", "place").sortWithinPartitions("a", "place", "role", "node")
     return written(routed.select("node", "a", "role", "text").mapInArrow(
         compare, "a long, b long, linked boolean, n_a long, n_b long, apart array<bigint>"))
 
@@ -344,19 +345,22 @@ def _by_differences(spokes: DataFrame, percent: int) -> DataFrame:
     spokes = written(spokes.select(spoke, "a", "b", "label", "linked", "n_a", "n_b", "apart"))
     facts = spokes.select("spoke", "b", "label", "linked", "n_a", "n_b", F.size("apart").alias("d"))
     # An element of a lead's group is one number; those that two groups share by chance only add pairs to verify.
-    rows = spokes.select("spoke", "a", "label", F.explode("apart").alias("_e")).select("spoke", "label", F.xxhash64("a", "_e").alias("e"))
-    # Elements that only one component holds come first in the order and need not be moved again.
-    often = (rows.groupBy("e").agg(F.count("*").alias("often"), F.min("label").alias("low"), F.max("label").alias("high"))
-             .filter("low <> high").select("e", "often"))
+    rows = spokes.select("spoke", "a", F.explode("apart").alias("_e")).select("spoke", F.xxhash64("a", "_e").alias("e"))
+    # Elements of one difference alone come first in the order and need not be moved again.
+    often = rows.groupBy("e").agg(F.count("*").alias("often")).filter("often > 1")
     own = Window.partitionBy("spoke")
-    placed = (rows.select("spoke", "e").join(often, "e")
+    placed = (rows.join(often, "e")
               .select("spoke", "e", (F.row_number().over(own.orderBy("often", "e")) - 1).alias("after"), F.count("*").over(own).alias("kept"))
               .join(facts, "spoke").withColumn("place", (F.col("d") - F.col("kept") + F.col("after")).cast("int")))
     # Least size of a larger partner's difference: its own, and if it is linked with P, what keeps the partner from being linked.
     least = F.greatest(F.col("d"), F.when(F.col("linked"), F.floor(F.col("n_a") * (2 * share / (1 + share))) + 1).otherwise(0))
     overlap = F.greatest(F.lit(1), F.ceil((least * (1 - share) - (F.col("n_a") + F.col("n_b")) * share + F.col("d")) / 2 - 1e-6))
+    # Sets linked with y are at most 100 / percent times as large, so that y may differ from them in this many elements at most; their differences
+    # from the lead are then smaller than Y by no more than that, and share all the rest of Y.
+    most = F.floor(F.col("n_b") * ((100 - percent) / percent) + 1e-6)
     columns = ["b", "label", "n_b", "d", "place"]
-    large = written(placed.select("e", *columns, (F.col("place") <= F.col("d") - overlap).alias("sent")))
+    large = written(placed.filter(F.col("place") <= F.least(F.col("d") - 1, most))
+                    .select("e", *columns, (F.col("place") <= F.col("d") - overlap).alias("sent")))
     small = large.filter("sent").select("e", *[F.col(c).alias(f"s_{c}") for c in columns])
     needed = F.ceil((F.col("d") + F.col("s_d") - F.floor((F.col("n_b") + F.col("s_n_b")) * share + 1e-6)) / 2)
     return (small.join(large.drop("sent"), "e")
@@ -409,20 +413,23 @@ def joined(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     pairs = written(agreeing.groupBy("a", "b").agg(F.min("kind").alias("kind")))
     # Members of crowded signatures matter for sets that have as many of those as they are sure to agree on.
     members = written(members.join(hidden.filter("n >= sure").select("node", "inst", "n", F.col("sure").alias("least")), ["node", "inst"])
-                      .select("sig", "node", "inst", "n", "least").distinct())
-    crowds = written(members.groupBy("sig").agg(F.count("*").alias("crowd"), F.max_by("node", F.struct("n", "node")).alias("lead")))
+                      .select("sig", "node", "inst", "n", "least"))
+    # The lead, the member with most crowded signatures, is the least changed one of its group, and so near to most. Of several such members
+    # the one that leads most signatures is taken, so that a group has few leads.
+    strongest = members.groupBy("sig").agg(F.max_by("node", F.struct("n", "node")).alias("node"))
+    leading = written(strongest.groupBy("node").agg(F.count("*").alias("leads")))
+    crowds = written(members.join(leading, "node", "left").groupBy("sig").agg(
+        F.count("*").alias("crowd"), F.max_by("node", F.struct(F.coalesce("leads", F.lit(0)), "n", "node")).alias("lead")))
     # Sets that agree on crowded signatures alone share as many as either is sure of, so that their rarest n - sure + 1 have one in common.
     rarest = Window.partitionBy("node", "inst").orderBy("crowd", "sig")
-    near = (members.join(crowds, "sig").withColumn("place", F.row_number().over(rarest))
-            .filter("place <= n - least + 1").select("sig", "node", "lead"))
-    near = written(near)
+    near = written(members.join(crowds, "sig").withColumn("place", F.row_number().over(rarest))
+                   .filter("place <= n - least + 1").select("sig", "node", "lead"))
     shared = near.groupBy("sig").agg(F.count("*").alias("left")).filter("left > 1").select("sig")
 
     def labelled(rows: DataFrame, labels: DataFrame, name: str, to: str) -> DataFrame:
         return rows.join(labels.select(F.col("node").alias(name), F.col("label").alias("_label")), name, "left").withColumn(
             to, F.coalesce("_label", name)).drop("_label")
 
-    # The lead, the member with most crowded signatures, is the least changed one of its group, and so near to most.
     spokes = near.join(shared, "sig", "left_semi").filter("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b"), F.lit(True).alias("wanted"))
     firm = pairs.filter(f"kind = {PAIR}").select("a", "b", F.lit(False).alias("wanted"))
     compared = _compared(own, firsts, firm.union(spokes), percent)
@@ -432,7 +439,7 @@ def joined(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     # Only groups with a member outside their lead's component can still miss a link.
     spoke = compared.filter("apart is not null")
     mixed = labelled(labelled(spoke.select("a", "b"), labels, "b", "lb"), labels, "a", "la").filter("la <> lb").select("a").distinct()
-    apart = labelled(spoke.join(written(mixed), "a", "left_semi").dropDuplicates(["a", "b"]), labels, "b", "label")
+    apart = labelled(spoke.join(written(mixed), "a", "left_semi"), labels, "b", "label")
     more = rest.union(_by_differences(apart, percent)).withColumn("wanted", F.lit(False))
     links = links.union(_compared(own, firsts, more, percent).filter("linked").select("a", "b"))
     labels = components(links)
