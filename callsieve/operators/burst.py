@@ -10,6 +10,9 @@ batches of ``limit`` consecutive ones: the batch that starts at position i is fo
 starts at the first report later than ``t[i + limit - 1] + gap``. This successor is computed for all
 positions at once, and the batches that really occur are those reachable from position 1. Doubling the
 successor links finds them in log2(batches) joins, whatever the length of the session.
+
+Positions are counted over sampled ranges of (reporter, time), so that a reporter's reports spread over as many tasks as
+their number calls for, also if all lie within a few seconds.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .prefix import numbered, running
+from .prefix import numbered, ranged, running
 
 GAP_SECONDS, BURST_LIMIT = 300.0, 10
 
@@ -45,15 +48,17 @@ def report_sessions(reports: DataFrame, gap: float = GAP_SECONDS) -> DataFrame:
         F.min("first_t").alias("session_start"), F.max("last_t").alias("session_end"), F.sum("n").alias("reports"))
 
 
-def batch_starts(rows: DataFrame, gap: float, limit: int) -> DataFrame:
-    """Positions at which an accepted batch starts. ``rows``: user_id, session, pos, t, slot of long sessions."""
+def batch_starts(rows: DataFrame, gap: float, limit: int, ranges: int | None = None) -> DataFrame:
+    """Positions at which an accepted batch starts. ``rows``: user_id, session, pos, t of long sessions."""
     keys = ["user_id", "session"]
     last = rows.select(*keys, (F.col("pos") - (limit - 1)).alias("pos"), (F.col("t") + gap).alias("until"))
     asked = rows.select(*keys, "pos").join(last, [*keys, "pos"])
     # How many reports are not later than ``until``: a running count with the questions mixed in.
-    mixed = (rows.select(*keys, "t", F.lit(1).alias("is_report"), F.lit(0).cast("long").alias("pos"))
-             .unionByName(asked.select(*keys, F.col("until").alias("t"), F.lit(0).alias("is_report"), F.col("pos").cast("long"))))
-    counted = running(mixed, keys, [F.col("t"), F.desc("is_report")], slot_of("t", gap), sums={"seen": F.col("is_report")})
+    mixed = (rows.select(*keys, "t", F.lit(1).alias("is_report"), "pos")
+             .unionByName(asked.select(*keys, F.col("until").alias("t"), F.lit(0).alias("is_report"), "pos")))
+    by_time = [F.col("t"), F.desc("is_report"), F.col("pos")]
+    mixed = ranged(mixed, [*map(F.col, keys), *by_time], "range", ranges)
+    counted = running(mixed, keys, by_time, F.col("range"), sums={"seen": F.col("is_report")})
     sizes = rows.groupBy(*keys).agg(F.max("pos").alias("size"))
     links = counted.filter("is_report = 0").join(sizes, keys).filter("seen < size").select(
         *keys, "pos", (F.col("seen") + 1).alias("next"))
@@ -67,16 +72,20 @@ def batch_starts(rows: DataFrame, gap: float, limit: int) -> DataFrame:
     return found
 
 
-def burst_throttle(reports: DataFrame, gap: float = GAP_SECONDS, limit: int = BURST_LIMIT) -> DataFrame:
-    """Reports with ``accepted`` and the counter after the report. Needs user_id, report_seq, t."""
+def burst_throttle(reports: DataFrame, gap: float = GAP_SECONDS, limit: int = BURST_LIMIT, ranges: int | None = None) -> DataFrame:
+    """Reports with ``accepted`` and the counter after the report. Needs user_id, report_seq, t.
+
+    ``ranges``: into how many pieces of (reporter, time) all reports are cut; by default as many as a shuffle has.
+    """
     keys = ["user_id", "session"]
     slots = slot_sessions(reports, gap)
     sizes = slots.groupBy(*keys).agg(F.sum("n").alias("session_reports"))
     placed = (reports.withColumn("slot", slot_of("t", gap))
               .join(slots.join(sizes, keys).select(*keys, "slot", "session_reports"), ["user_id", "slot"]))
-    placed = cut_lineage(numbered(placed, keys, [F.col("t"), F.col("report_seq")], F.col("slot"), "pos"))
+    placed = ranged(placed, [*keys, "t", "report_seq"], "range", ranges)
+    placed = cut_lineage(numbered(placed, keys, [F.col("t"), F.col("report_seq")], F.col("range"), "pos"))
     long = placed.filter(F.col("session_reports") > limit)
-    batch = batch_starts(long.select(*keys, "pos", "t", "slot"), gap, limit).select(
+    batch = batch_starts(long.select(*keys, "pos", "t"), gap, limit, ranges).select(
         *keys, F.posexplode(F.sequence("pos", F.col("pos") + limit - 1)).alias("offset", "pos"))
     short = F.col("session_reports") <= limit
     return placed.join(batch, [*keys, "pos"], "left").select(

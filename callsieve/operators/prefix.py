@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 
 def running(
     df: DataFrame,
@@ -58,6 +60,17 @@ def numbered(df: DataFrame, keys: list[str], order: list[Column], chunk: Column,
     return running(df, keys, order, chunk, sums={name: F.lit(1).cast("long")})
 
 
+def ranged(df: DataFrame, order: list[str | Column], name: str, pieces: int | None = None) -> DataFrame:
+    """Add the number of the range of ``order`` that a row lies in: a chunk expression for keys of any density.
+
+    Spark samples the rows and cuts the whole order into ranges of about equal size (``pieces``, or as many as a shuffle has), so that
+    a range holds no more than any other task does, even if one key and one moment own most rows. Rows equal in ``order`` stay together.
+    Sampled ranges may differ between runs, hence the checkpoint.
+    """
+    parts = df.repartitionByRange(*([pieces] if pieces else []), *order)
+    return cut_lineage(parts.withColumn(name, F.spark_partition_id()))
+
+
 def previous_row(
     df: DataFrame, keys: list[str], order: list[str], chunk: Column, values: list[str], name: str
 ) -> DataFrame:

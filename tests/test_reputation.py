@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from callsieve.functions import scoring
 from callsieve.operators import burst
 from callsieve.operators import reputation as ops
+from callsieve.operators.prefix import ranged
 
 
 def rating(spark, alpha, beta, total, strikes=0, geo=False):
@@ -74,6 +75,22 @@ def test_burst_on_random_and_dense_sessions(spark):
     check_burst(spark, users)
 
 
+def test_burst_of_one_reporter_spreads_over_tasks(spark):
+    """A million reports within 300 s: no range holds much more than its share, and the answer is that of the fold."""
+    n, pieces = 1_000_000, 16
+    seconds = (F.pmod(F.xxhash64("id"), F.lit(2_400)) / 8).cast("double")  # many reports at each moment
+    df = spark.range(n).select(F.col("id").alias("report_seq"), F.lit(1).cast("long").alias("user_id"), seconds.alias("t"))
+    load = ranged(df, ["user_id", "t", "report_seq"], "range", pieces).groupBy("range").agg(
+        F.count("*").alias("n"), F.min(F.struct("t", "report_seq")).alias("first"), F.max(F.struct("t", "report_seq")).alias("last"))
+    load = load.orderBy("range").collect()
+    assert len(load) == pieces and max(r["n"] for r in load) < 2 * n / pieces
+    assert all(a["last"] < b["first"] for a, b in zip(load, load[1:]))
+    got = burst.burst_throttle(df, gap=7.0, ranges=pieces).filter("accepted").select("report_seq", "burst_count").collect()
+    given = sorted((r["t"], r["report_seq"]) for r in df.collect())
+    kept = throttled_by_hand([t for t, _ in given], gap=7.0)
+    assert sorted(map(tuple, got)) == sorted((seq, count) for (_, seq), (accepted, count) in zip(given, kept) if accepted)
+
+
 def test_sessions_merge_at_exactly_the_gap(spark):
     df = spark.createDataFrame([(1, 0.0), (1, 300.0), (1, 600.5), (1, 901.0)], "user_id long, t double")
     got = sorted((r["session_start"], r["reports"]) for r in burst.report_sessions(df).collect())
