@@ -125,23 +125,38 @@ def _signatures(sets: list[np.ndarray], bands: Bands) -> tuple[np.ndarray, np.nd
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
-def _pack(sig: np.ndarray, unit: np.ndarray, node: np.ndarray, inst: np.ndarray, sure: np.ndarray) -> bytes:
-    """Signatures (low 32 bits) in order of their units, with what each unit stands for."""
-    used, counts = np.unique(unit, return_counts=True)
-    head = np.array([len(used), len(sig)], dtype="<i8").tobytes()
-    return head + b"".join(x.tobytes() for x in (
-        node[used].astype("<i8"), counts.astype("<i4"), np.minimum(sure[used], 32000).astype("<i2"), inst[used].astype("<u1"),
-        (sig & np.uint64(0xFFFFFFFF)).astype("<u4")))
+def _planes(x: np.ndarray, kind: str) -> bytes:
+    """Integers by bytes: all lowest ones first. The high ones are mostly zero, and runs of zeros compress to nothing in a shuffle."""
+    x = np.ascontiguousarray(x.astype(kind))
+    return x.view(np.uint8).reshape(-1, x.itemsize).T.tobytes()
+
+
+def _pack(sig: np.ndarray, unit: np.ndarray, node: np.ndarray, band: np.ndarray, sure: np.ndarray) -> bytes:
+    """Signatures (low 32 bits) in order of their units. A set has two, one per instance, and is named once for both.
+
+    ``node`` and ``band`` are those of the sets, ``sure`` has a row per set and a column per instance.
+    """
+    used, at = np.unique(unit // 2, return_inverse=True)
+    counts = np.bincount(2 * at + unit % 2, minlength=2 * len(used))
+    return np.array([len(used), len(sig)], dtype="<i8").tobytes() + b"".join((
+        node[used].astype("<i8").tobytes(), _planes(counts, "<i4"), _planes(np.minimum(sure[used], 32000).ravel(), "<i2"),
+        band[used].astype("<u1").tobytes(), (sig & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes()))
 
 
 def _unpack(held: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    units, n = np.frombuffer(held, "<i8", 2)
-    at, parts = 16, []
-    for kind, many in (("<i8", units), ("<i4", units), ("<i2", units), ("<u1", units), ("<u4", n)):
-        parts.append(np.frombuffer(held, kind, int(many), at))
-        at += parts[-1].nbytes
-    node, counts, sure, inst, sig = parts
-    return sig, np.repeat(node, counts), np.repeat(inst, counts), np.repeat(sure, counts)
+    """Signature, node, instance and sure agreements of every signature of :func:`_pack`."""
+    sets, n = (int(x) for x in np.frombuffer(held, "<i8", 2))
+    at = 16
+
+    def taken(kind: str, many: int, planes: bool = False) -> np.ndarray:
+        nonlocal at
+        width = np.dtype(kind).itemsize
+        raw, at = np.frombuffer(held, np.uint8, many * width, at), at + many * width
+        return (np.ascontiguousarray(raw.reshape(width, many).T) if planes else raw.copy()).reshape(-1).view(kind)
+
+    node, counts, sure = taken("<i8", sets), taken("<i4", 2 * sets, True), taken("<i2", 2 * sets, True)
+    inst = (taken("<u1", sets)[:, None] + np.array([0, 1], dtype=np.uint8)).ravel()
+    return taken("<u4", n), np.repeat(np.repeat(node, 2), counts), np.repeat(inst, counts), np.repeat(sure, counts)
 
 
 def _emit(n_buckets: int, bands: Bands):
@@ -159,10 +174,11 @@ def _emit(n_buckets: int, bands: Bands):
                     rows.append((docs[0][2] % n_buckets, NODE, bytes([known]) + table[has_id == known].tobytes()))
             sig, owner, inst, sure = _signatures(sets, bands)
             node = np.array(names, dtype=np.int64)
-            unit = owner * 2 + (inst != bands.of(np.array([len(s) for s in sets]))[owner]) if len(sig) else owner
-            # What each unit (a set in an instance) stands for.
-            u_node, u_inst, u_sure = (np.zeros(2 * len(sets), dtype=np.int64) for _ in range(3))
-            u_node[unit], u_inst[unit], u_sure[unit] = node[owner], inst, sure
+            band = bands.of(np.array([len(s) for s in sets], dtype=np.int64))
+            unit = owner * 2 + (inst != band[owner])
+            agreed = np.zeros(2 * len(sets), dtype=np.int64)
+            agreed[unit] = sure
+            agreed = agreed.reshape(-1, 2)
             bucket = ((sig >> np.uint64(32)) % np.uint64(n_buckets)).astype(np.int64)
             order = np.lexsort((unit, bucket))
             sig, unit, bucket = sig[order], unit[order], bucket[order]
@@ -180,7 +196,7 @@ def _emit(n_buckets: int, bands: Bands):
                     part = slice(cut[i], cut[i + 1])
                     # Members beyond the first are dealt to any bucket: they pass through.
                     to = i if kind == PAIR else (i + docs[0][2]) % n_buckets
-                    rows.append((to, kind, np.array([i], dtype="<i8").tobytes() + _pack(s[part], u[part], u_node, u_inst, u_sure)))
+                    rows.append((to, kind, np.array([i], dtype="<i8").tobytes() + _pack(s[part], u[part], node, band, agreed)))
             return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()),
                                                pa.array([r[2] for r in rows], pa.binary())], names=["bucket", "kind", "held"])
 

@@ -272,6 +272,20 @@ def test_join_equals_brute_force(spark, seed):
     assert max(Counter(c for _, c in want).values()) > 25
 
 
+def test_packed_signatures_come_back():
+    rng = np.random.default_rng(5)
+    sets, n = 40, 3_000
+    unit = np.sort(np.concatenate([rng.integers(0, 2 * sets, n), np.full(70_000, 7)]))  # one set with very many
+    sig = rng.integers(0, 1 << 32, len(unit), dtype=np.uint64) | np.uint64(5 << 40)
+    node, band = rng.integers(-(1 << 63), (1 << 63) - 1, sets), rng.integers(1, 80, sets)
+    sure = rng.integers(1, 60_000, (sets, 2))
+    got = jaccard._unpack(jaccard._pack(sig, unit, node, band, sure))
+    expected = (sig & np.uint64(0xFFFFFFFF), node[unit // 2], band[unit // 2] + unit % 2, np.minimum(sure.ravel()[unit], 32_000))
+    assert all((g.astype(np.int64) == e.astype(np.int64)).all() for g, e in zip(got, expected))
+    none = np.zeros(0, dtype=np.int64)
+    assert all(len(g) == 0 for g in jaccard._unpack(jaccard._pack(none.astype(np.uint64), none, node, band, sure)))
+
+
 def test_join_odd_input(odd, none):
     got = rows(jaccard.joined(odd))
     assert len(got) == odd.count() and rows(jaccard.joined(none)) == []
