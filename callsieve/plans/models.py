@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import dataset, explain, ml
+from ..operators import dataset, explain, kernel, ml
 from ..operators.complaints import FEATURES
 from ..session import cut_lineage
 from ..sources import views
@@ -16,7 +16,7 @@ FITS = {
     "logistic_regression": ml.fit_lr,
     "boosted_trees": ml.fit_gbt,
     "random_forest": ml.fit_rf,
-    "rbf_svm": ml.fit_rbf_svm,
+    "rbf_svm": kernel.fit_kernel_svm,
 }
 
 
@@ -100,15 +100,15 @@ def refinement_report(spark, sf):
 
 @query("ablation")
 def ablation(spark, sf):
-    return rounded(ml.ablation(training(spark, sf), FEATURES, "complaint_count_log", ml.fit_lr))
+    return rounded(ml.ablation(training(spark, sf), FEATURES, "complaint_count_log", kernel.fit_kernel_svm))
 
 
 @query("permutation_importance")
 def permutation_importance(spark, sf):
-    return ml.permutation_importance(training(spark, sf), FEATURES, FEATURES, ml.fit_lr)
+    return ml.permutation_importance(training(spark, sf), FEATURES, FEATURES, kernel.fit_kernel_svm)
 
 
 @query("hard_negative_sweep")
 def hard_negative_sweep(spark, sf):
     table, good = cut_lineage(features(spark, sf)), cut_lineage(good_features(spark, sf))
-    return rounded(ml.hard_negative_sweep(table, good, FEATURES, [i / 100 for i in range(11)], ml.fit_lr))
+    return rounded(ml.hard_negative_sweep(table, good, FEATURES, [i / 100 for i in range(11)], kernel.fit_kernel_svm))
