@@ -13,13 +13,15 @@ import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from . import sampling
-from .ml import weighted
+from .ml import side_by_side, weighted
 
 #: Eigenvalues of the landmarks' kernel below this share of the largest are noise.
 SPECTRUM_FLOOR = 1e-10
@@ -83,6 +85,13 @@ class KernelMachine:
         return self.linear.transform(self.landmarks.transform(rows))
 
 
+def machine(reg: float, iterations: int) -> list:
+    """Stages from the mapped vector to margin and probability."""
+    return [LinearSVC(labelCol="label", weightCol="weight", regParam=reg, maxIter=iterations, standardization=False, predictionCol="side",
+                      rawPredictionCol="margin"),
+            LogisticRegression(featuresCol="margin", labelCol="label", maxIter=50)]
+
+
 def fit_kernel_svm(train: DataFrame, features: list[str], gamma: float | None = None, cost: float = 1.0, size: int = 128,
                    iterations: int = 100) -> KernelMachine:
     """Soft-margin machine of the RBF kernel with balanced class weights, and Platt scaling of its margin.
@@ -91,7 +100,28 @@ def fit_kernel_svm(train: DataFrame, features: list[str], gamma: float | None =
     """
     landmarks = fit_landmarks(train, features, gamma, size)
     mapped = cut_lineage(landmarks.transform(weighted(train)).select("label", "weight", "features"))
-    machine = LinearSVC(labelCol="label", weightCol="weight", regParam=1.0 / (cost * max(mapped.count(), 1)), maxIter=iterations,
-                        standardization=False, predictionCol="side", rawPredictionCol="margin")
-    platt = LogisticRegression(featuresCol="margin", labelCol="label", maxIter=50)
-    return KernelMachine(landmarks, Pipeline(stages=[machine, platt]).fit(mapped))
+    stages = machine(1.0 / (cost * max(mapped.count(), 1)), iterations)
+    return KernelMachine(landmarks, Pipeline(stages=stages).fit(mapped))
+
+
+def grid_search(rows: DataFrame, features: list[str], costs: list[float], gammas: list[float | None], k: int = 5, size: int = 128,
+                iterations: int = 100) -> DataFrame:
+    """Mean fold F1 of the kernel machine for every width and cost; folds are stratified.
+
+    All folds and costs of a width share one map, written once. Landmarks are taken without labels from all rows.
+    """
+    train = cut_lineage(weighted(sampling.stratified_folds(rows, "label", "row_id", k)))
+    per_fit = max(train.count() * (k - 1) / k, 1)
+    judge = MulticlassClassificationEvaluator(labelCol="label", metricName="fMeasureByLabel", metricLabel=1.0)
+
+    def folds(gamma: float | None) -> list[float]:
+        table = cut_lineage(fit_landmarks(train, features, gamma, size).transform(train).select("label", "weight", "fold", "features"))
+        svm, platt = machine(1.0, iterations)
+        settings = ParamGridBuilder().addGrid(svm.regParam, [1.0 / (c * per_fit) for c in costs]).build()
+        return CrossValidator(estimator=Pipeline(stages=[svm, platt]), estimatorParamMaps=settings, evaluator=judge, numFolds=k,
+                              foldCol="fold", parallelism=len(costs)).fit(table).avgMetrics
+
+    found = side_by_side(rows.sparkSession, folds, gammas)
+    table = [(float(g or 1.0 / len(features)), float(c), float(m)) for g, means in zip(gammas, found) for c, m in zip(costs, means)]
+    best = max(m for _, _, m in table)
+    return rows.sparkSession.createDataFrame(table, "gamma double, cost double, mean_f1 double").withColumn("is_best", F.col("mean_f1") == best)

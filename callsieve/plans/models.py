@@ -54,7 +54,7 @@ def cv_f1(spark, sf):
 
 @query("grid_search")
 def grid_search(spark, sf):
-    return rounded(ml.grid_search(training(spark, sf), FEATURES, [10.0, 1.0, 1e-1, 1e-2], [None, 0.01, 0.1], k=5))
+    return rounded(kernel.grid_search(training(spark, sf), FEATURES, [0.1, 1.0, 10.0, 100.0], [None, 0.01, 0.1, 1.0], k=5))
 
 
 @query("feature_importance_top10")

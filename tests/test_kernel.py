@@ -73,3 +73,11 @@ def test_odd_rows(spark):
     assert ml.score(model, df).count() == 4 and ml.score(model, df.limit(0)).count() == 0
     with pytest.raises(ValueError):
         kernel.fit_landmarks(df.limit(0), ["u", "v"])
+
+
+def test_grid_has_every_setting_and_prefers_curved_ones(spark, data):
+    (x, label), _ = data
+    got = kernel.grid_search(frame(spark, x, label), ["u", "v"], [0.01, 1.0], [None, 1e-6], k=2, size=40, iterations=30).collect()
+    assert [(r["gamma"], r["cost"]) for r in got] == [(0.5, 0.01), (0.5, 1.0), (1e-6, 0.01), (1e-6, 1.0)]
+    best = [r for r in got if r["is_best"]]
+    assert best[0]["gamma"] == 0.5 and best[0]["mean_f1"] == max(r["mean_f1"] for r in got) > 0.95

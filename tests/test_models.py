@@ -6,7 +6,7 @@ import random
 
 import pytest
 
-from callsieve.operators import dataset, ml
+from callsieve.operators import dataset, kernel, ml
 from callsieve.plans import QUERIES, models
 from callsieve.operators.complaints import FEATURES
 
@@ -27,10 +27,10 @@ def test_studies_run_their_full_settings(spark, monkeypatch):
             seen[name] = (args, named)
             return spark.createDataFrame([(0.5,)], "x double")
 
-        monkeypatch.setattr(ml, name, kept)
+        monkeypatch.setattr(kernel if name == "grid_search" else ml, name, kept)
         QUERIES[name](spark, SF)
     args, named = seen["grid_search"]
-    assert args[2:] == ([10.0, 1.0, 0.1, 0.01], [None, 0.01, 0.1]) and named == {"k": 5}
+    assert args[2:] == ([0.1, 1.0, 10.0, 100.0], [None, 0.01, 0.1, 1.0]) and named == {"k": 5}
     assert seen["permutation_importance"][0][2] == FEATURES
     assert seen["hard_negative_sweep"][0][3] == [i / 100 for i in range(11)]
     given, names, fit = seen["refinement_report"][0]
