@@ -10,8 +10,8 @@ An empty partition says nothing. n is chosen so that nearly every set has fewer
 empty, and empty ones are left out. The few other sets send them too.
 
 A signature that more than ``CROWD`` sets share is crowded, and its sets are not paired. A set with fewer crowded signatures than it is sure to agree on finds all
-its partners by the others. The rest (large groups of near copies, mostly) take part in their rarest crowded signatures, as many as two sets that agree on crowded
-ones alone need to have one of those in common. All that is missing is what joins components: each set is compared with the
+its partners by the others. The rest (large groups of near copies, mostly) take part in as many of their crowded signatures as two sets that agree on crowded
+ones alone need to have one of those in common; those of the widest leads come first, so that a set has few leads. All that is missing is what joins components: each set is compared with the
 least changed member of each such signature. Two sets of a group that are still in different components can only be linked if their
 differences from that member overlap, which a prefix filter over rare elements finds (:func:`_by_differences`).
 
@@ -47,7 +47,7 @@ class Bands:
     """Size bands and, per instance, k and the number of partitions."""
 
     def __init__(self, percent: int, largest: int):
-        self.ends = [0]
+        self.percent, self.ends = percent, [0]
         while self.ends[-1] < largest:
             self.ends.append((self.ends[-1] + 1) * 100 // percent)
         # Instance i covers bands i - 1 and i (sizes from ends[i - 2] + 1 to ends[i]).
@@ -74,6 +74,13 @@ class Bands:
     def of(self, sizes: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.ends, sizes)
 
+    def differing(self, sizes: np.ndarray, upper: bool) -> np.ndarray:
+        """Most elements that sets of these sizes and their linked partners in the instance of this and the next lower (``upper``) or higher band differ in."""
+        partner = sizes * 100 // self.percent
+        if upper:
+            partner = np.minimum(partner, np.array(self.ends)[self.of(sizes)])
+        return (sizes + partner) * (100 - self.percent) // (100 + self.percent)
+
 
 def digest(s: np.ndarray) -> int:
     """Name of a set, whatever its order."""
@@ -90,7 +97,7 @@ def _signatures(sets: list[np.ndarray], bands: Bands) -> tuple[np.ndarray, np.nd
     content = mix(elements + np.uint64(0x632BE59BD9B4E019))
     band, k, n = bands.of(sizes), np.array(bands.k), np.array(bands.n)
     out = []
-    for instance in (band, band + 1):
+    for upper, instance in ((True, band), (False, band + 1)):
         ks, ns = k[instance], n[instance]
         owner = np.repeat(np.arange(len(sets)), sizes)
         # Elements are sorted, so the partitions by their top bits follow one another.
@@ -98,7 +105,8 @@ def _signatures(sets: list[np.ndarray], bands: Bands) -> tuple[np.ndarray, np.nd
         opens = np.flatnonzero(np.concatenate([[True], (part[1:] != part[:-1]) | (owner[1:] != owner[:-1])]))
         sums, part, owner = np.add.reduceat(content, opens), part[opens], owner[opens]
         filled = np.bincount(owner, minlength=len(sets))
-        sure = filled - ks  # n - k partitions agree, less the empty ones
+        # n - k partitions agree, less the empty ones; k for partners of a set of just this size.
+        sure = filled - bands.differing(sizes, upper)
         large = ks > SMALL_K
         use = large[owner]
         salt = instance.astype(np.uint64) * np.uint64(0xA0761D6478BD642F)
@@ -361,9 +369,10 @@ def _by_differences(spokes: DataFrame, percent: int) -> DataFrame:
     spokes = written(spokes.select(spoke, "a", "b", "label", "linked", "n_a", "n_b", "apart"))
     facts = spokes.select("spoke", "b", "label", "linked", "n_a", "n_b", F.size("apart").alias("d"))
     # An element of a lead's group is one number; those that two groups share by chance only add pairs to verify.
-    rows = spokes.select("spoke", "a", F.explode("apart").alias("_e")).select("spoke", F.xxhash64("a", "_e").alias("e"))
-    # Elements of one difference alone come first in the order and need not be moved again.
-    often = rows.groupBy("e").agg(F.count("*").alias("often")).filter("often > 1")
+    rows = spokes.select("spoke", "a", "label", F.explode("apart").alias("_e")).select("spoke", "label", F.xxhash64("a", "_e").alias("e"))
+    # Elements of one component's differences alone join no other: they come first in the order and need not be moved again.
+    often = rows.groupBy("e").agg(F.count("*").alias("often"), F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("e", "often")
+    rows = rows.drop("label")
     own = Window.partitionBy("spoke")
     placed = (rows.join(often, "e")
               .select("spoke", "e", (F.row_number().over(own.orderBy("often", "e")) - 1).alias("after"), F.count("*").over(own).alias("kept"))
@@ -435,10 +444,12 @@ def joined(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     strongest = members.groupBy("sig").agg(F.max_by("node", F.struct("n", "node")).alias("node"))
     leading = written(strongest.groupBy("node").agg(F.count("*").alias("leads")))
     crowds = written(members.join(leading, "node", "left").groupBy("sig").agg(
-        F.count("*").alias("crowd"), F.max_by("node", F.struct(F.coalesce("leads", F.lit(0)), "n", "node")).alias("lead")))
-    # Sets that agree on crowded signatures alone share as many as either is sure of, so that their rarest n - sure + 1 have one in common.
-    rarest = Window.partitionBy("node", "inst").orderBy("crowd", "sig")
-    near = written(members.join(crowds, "sig").withColumn("place", F.row_number().over(rarest))
+        F.max_by("node", F.struct(F.coalesce("leads", F.lit(0)), "n", "node")).alias("lead")))
+    # Sets that agree on crowded signatures alone share as many as either is sure of, so that the first n - sure + 1 of each have one in common,
+    # in any order that holds for all. Those of the lead with most signatures come first, so that a set is compared with few leads.
+    width = crowds.groupBy("lead").agg(F.count("*").alias("width"))
+    first = Window.partitionBy("node", "inst").orderBy(F.desc("width"), "lead", "sig")
+    near = written(members.join(written(crowds.join(width, "lead")), "sig").withColumn("place", F.row_number().over(first))
                    .filter("place <= n - least + 1").select("sig", "node", "lead"))
     shared = near.groupBy("sig").agg(F.count("*").alias("left")).filter("left > 1").select("sig")
 

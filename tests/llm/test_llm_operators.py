@@ -272,6 +272,56 @@ def test_join_equals_brute_force(spark, seed):
     assert max(Counter(c for _, c in want).values()) > 25
 
 
+def test_join_compares_members_of_a_crowd_with_few_leads(spark, monkeypatch):
+    rng = random.Random(11)
+    base = words(rng, 300)
+    texts = [edited(rng, base, rng.randint(1, 20)) for _ in range(150)]  # many are near the first version, many near others only
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    spokes, exploded = [], []
+    compared, by_differences = jaccard._compared, jaccard._by_differences
+
+    def counted(docs, firsts, pairs, percent):
+        spokes.append(pairs.filter("wanted").select("a", "b").distinct().count())
+        return compared(docs, firsts, pairs, percent)
+
+    def summed(rows, percent):
+        exploded.append(rows.agg(F.sum(F.size("apart"))).first()[0] or 0)
+        return by_differences(rows, percent)
+
+    monkeypatch.setattr(jaccard, "_compared", counted)
+    monkeypatch.setattr(jaccard, "_by_differences", summed)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows(jaccard.joined(docs))}
+    assert got == dict(enumerate(plain_components(texts)))
+    assert 0 < sum(spokes) <= 1.5 * len(texts)
+    assert 0 < sum(exploded) <= 150 * len(texts)
+
+
+@pytest.mark.parametrize("sizes", [(40, 60), (200, 330), (900, 1400)])
+def test_sure_agreements_hold_for_the_farthest_partners(sizes):
+    rng = np.random.default_rng(12)
+    bands = jaccard.Bands(80, 5_000)
+    for size in range(*sizes, 7):
+        own = rng.integers(0, 1 << 64, size, dtype=np.uint64)
+        extra = rng.integers(0, 1 << 64, size, dtype=np.uint64)
+        sets = [np.sort(own)]
+        for more in range(0, size // 4 + 1, max(1, size // 20)):  # linked, and one element more in the difference would not be
+            union = size + more
+            lost = max(0, union - -(-80 * (union) // 100) - more)
+            sets.append(np.sort(np.concatenate([own[lost:], extra[:more]])))
+        sig, owner, inst, sure = jaccard._signatures(sets, bands)
+        of = [{i: set(sig[(owner == j) & (inst == i)].tolist()) for i in set(inst[owner == j].tolist())} for j in range(len(sets))]
+        least = [{i: int(sure[(owner == j) & (inst == i)][0]) for i in of[j]} for j in range(len(sets))]
+        for j in range(1, len(sets)):
+            both = len(np.intersect1d(sets[0], sets[j]))
+            assert 100 * both >= 80 * (len(sets[0]) + len(sets[j]) - both)
+            shared = [i for i in of[0] if i in of[j]]
+            assert shared
+            for i in shared:
+                assert len(of[0][i] & of[j][i]) >= max(least[0][i], least[j][i])
+        for i in of[0]:  # as many as differ from a partner of size / 0.8 at most
+            assert least[0][i] == 1 or least[0][i] >= len(of[0][i]) - size // 4
+
+
 def test_packed_signatures_come_back():
     rng = np.random.default_rng(5)
     sets, n = 40, 3_000
