@@ -296,6 +296,23 @@ def test_join_compares_members_of_a_crowd_with_few_leads(spark, monkeypatch):
     assert 0 < sum(exploded) <= 150 * len(texts)
 
 
+def test_differences_within_one_component_are_not_placed(spark, monkeypatch):
+    group = [(1, 10 + i, 1, True, 400, 400, [*range(30), 5_000 + i]) for i in range(40)]  # all in the lead's component, with elements of their own
+    group += [(1, 60, 60, False, 400, 400, list(range(900, 1_010))), (1, 61, 61, False, 400, 400, list(range(901, 1_011)))]
+    spokes = spark.createDataFrame(group, "a long, b long, label long, linked boolean, n_a long, n_b long, apart array<long>")
+    placed, written = [], jaccard.written
+
+    def counted(df, *given):
+        out = written(df, *given)
+        if "place" in df.columns:
+            placed.append(out.groupBy("b").count().collect())
+        return out
+
+    monkeypatch.setattr(jaccard, "written", counted)
+    assert [(r["a"], r["b"]) for r in rows(jaccard._by_differences(spokes, 80))] == [(60, 61)]
+    assert len(placed) == 1 and {r["b"] for r in placed[0]} == {60, 61}
+
+
 @pytest.mark.parametrize("sizes", [(40, 60), (200, 330), (900, 1400)])
 def test_sure_agreements_hold_for_the_farthest_partners(sizes):
     rng = np.random.default_rng(12)
