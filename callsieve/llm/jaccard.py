@@ -37,7 +37,7 @@ from .shingles import shingle_sets, slices
 
 #: Linked: 100 * intersection >= PERCENT * union.
 PERCENT, CROWD, SMALL_K = 80, 8, 3
-BUCKET_SIGNATURES, FLUSH_SHINGLES, CENTRE_ROWS, FILTER_BITS = 800_000, 500_000, 300, 1 << 23
+BUCKET_SIGNATURES, FLUSH_SHINGLES, CENTRE_ROWS, FILTER_BITS = 1_600_000, 500_000, 300, 1 << 23
 NODE, PAIR, OTHER, INCIDENCE, KEY = 0, 1, 2, 3, 4
 FOUND = "kind int, x long, y long, z long, w int"
 BLOB = "bucket long, kind int, held binary"
