@@ -38,6 +38,8 @@ from .shingles import shingle_sets, slices
 #: Linked: 100 * intersection >= PERCENT * union.
 PERCENT, CROWD, SMALL_K = 80, 8, 3
 BUCKET_SIGNATURES, FLUSH_SHINGLES, CENTRE_ROWS, FILTER_BITS = 1_600_000, 500_000, 300, 1 << 23
+#: Differences of a lead that tell which elements are common, and so the order in which elements are taken.
+ORDER_SPOKES = 64
 NODE, PAIR, OTHER, INCIDENCE, KEY = 0, 1, 2, 3, 4
 FOUND = "kind int, x long, y long, z long, w int"
 BLOB = "bucket long, kind int, held binary"
@@ -356,33 +358,53 @@ def _compared(docs: DataFrame, firsts: DataFrame, pairs: DataFrame, percent: int
         compare, "a long, b long, linked boolean, n_a long, n_b long, apart array<bigint>"))
 
 
+def _common(spokes: DataFrame) -> DataFrame:
+    """Elements that many differences from one lead hold, from rare to frequent: a, common.
+
+    They are told by about ``ORDER_SPOKES`` differences of each lead. That only sets the order in which elements are taken, and any order finds the same links.
+    """
+    leads = spokes.groupBy("a").agg(F.count("*").alias("n")).withColumn("each", F.ceil(F.col("n") / ORDER_SPOKES))
+    some = spokes.join(leads, "a").filter(F.pmod("spoke", "each") == 0)
+    held = some.select("a", (F.col("n") / F.col("each")).alias("n"), F.explode("apart").alias("e")).groupBy("a", "e").agg(F.count("*").alias("often"), F.first("n").alias("n"))
+    listed = held.filter(F.col("often") >= F.greatest(F.lit(2), F.col("n") / 16)).groupBy("a").agg(F.array_sort(F.collect_list(F.struct("often", "e"))).alias("held"))
+    return listed.select("a", F.col("held.e").alias("common"))
+
+
 def _by_differences(spokes: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of sets compared with one lead that may be linked though their labels differ.
 
     x and y differ in as many elements as their differences X and Y from the lead P do. If they are linked, these share at least
     o = (|X| + |Y| - k) / 2 elements, k being the most that x and y may differ in. With the elements of each ordered from rare to frequent, the
     first |X| - o + 1 of X and |Y| - o + 1 of Y then have one in common. o is positive unless both are linked with P. The smaller of
-    the two sends no more elements than its largest prefix for any larger partner, which are mostly elements of its own.
+    the two sends no more elements than its largest prefix for any larger partner, which are mostly elements of its own. The order: elements
+    that are not common (:func:`_common`) by how many differences hold them, then the common ones, of which only what a prefix reaches is needed.
     """
     share = F.lit((100 - percent) / (100 + percent))
+    # Sets linked with y are at most 100 / percent times as large, so that y may differ from them in this many elements at most; their differences
+    # from the lead are then smaller than Y by no more than that, and share all the rest of Y.
+    most = F.floor(F.col("n_b") * ((100 - percent) / percent) + 1e-6)
     spoke = F.xxhash64("a", "b").alias("spoke")
     spokes = written(spokes.select(spoke, "a", "b", "label", "linked", "n_a", "n_b", "apart"))
     facts = spokes.select("spoke", "b", "label", "linked", "n_a", "n_b", F.size("apart").alias("d"))
+    # Common elements, from rare to frequent, stand last in the order, and only those that a prefix reaches are made rows.
+    common = F.coalesce("common", F.array().cast("array<bigint>"))
+    ordered = (spokes.join(_common(spokes), "a", "left")
+               .select("spoke", "a", "label", most.alias("most"), F.array_except("apart", common).alias("own"), F.array_intersect(common, "apart").alias("common")))
+    reached = F.slice("common", F.lit(1), F.greatest(F.lit(0), F.col("most") + 1 - F.size("own")).cast("int"))
     # An element of a lead's group is one number; those that two groups share by chance only add pairs to verify.
-    rows = spokes.select("spoke", "a", "label", F.explode("apart").alias("_e")).select("spoke", "label", F.xxhash64("a", "_e").alias("e"))
-    # Elements of one component's differences alone join no other: they come first in the order and need not be moved again.
+    rows = written(ordered.select("spoke", "a", "label", F.size("own").alias("own"), F.posexplode(F.concat("own", reached)).alias("at", "_e"))
+                   .select("spoke", "label", "own", "at", F.xxhash64("a", "_e").alias("e")))
+    # Elements of one component's differences alone join no other: they come first among the own ones and need not be moved again.
     often = rows.groupBy("e").agg(F.count("*").alias("often"), F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("e", "often")
-    rows = rows.drop("label")
-    own = Window.partitionBy("spoke")
-    placed = (rows.join(often, "e")
-              .select("spoke", "e", (F.row_number().over(own.orderBy("often", "e")) - 1).alias("after"), F.count("*").over(own).alias("kept"))
-              .join(facts, "spoke").withColumn("place", (F.col("d") - F.col("kept") + F.col("after")).cast("int")))
+    is_own = F.col("at") < F.col("own")
+    alike = Window.partitionBy("spoke", is_own)
+    after = F.row_number().over(alike.orderBy("often", "e")) - 1
+    placed = (rows.drop("label").join(often, "e")
+              .select("spoke", "e", F.when(is_own, F.col("own") - F.count("*").over(alike) + after).otherwise(F.col("at")).cast("int").alias("place"))
+              .join(facts, "spoke"))
     # Least size of a larger partner's difference: its own, and if it is linked with P, what keeps the partner from being linked.
     least = F.greatest(F.col("d"), F.when(F.col("linked"), F.floor(F.col("n_a") * (2 * share / (1 + share))) + 1).otherwise(0))
     overlap = F.greatest(F.lit(1), F.ceil((least * (1 - share) - (F.col("n_a") + F.col("n_b")) * share + F.col("d")) / 2 - 1e-6))
-    # Sets linked with y are at most 100 / percent times as large, so that y may differ from them in this many elements at most; their differences
-    # from the lead are then smaller than Y by no more than that, and share all the rest of Y.
-    most = F.floor(F.col("n_b") * ((100 - percent) / percent) + 1e-6)
     columns = ["b", "label", "n_b", "d", "place"]
     large = written(placed.filter(F.col("place") <= F.least(F.col("d") - 1, most))
                     .select("e", *columns, (F.col("place") <= F.col("d") - overlap).alias("sent")))

@@ -313,6 +313,46 @@ def test_differences_within_one_component_are_not_placed(spark, monkeypatch):
     assert len(placed) == 1 and {r["b"] for r in placed[0]} == {60, 61}
 
 
+def test_common_elements_of_differences_are_not_all_made_rows(spark, monkeypatch):
+    """Sixty sets that all lack the same 100 elements of their lead and have 40 of their own; sets of 300 differ in 75 elements at most."""
+    group = [(1, 10 + i, 10 + i, False, 360, 300, [*range(100), *range(1_000 * (i + 1), 1_000 * (i + 1) + 40)]) for i in range(60)]
+    spokes = spark.createDataFrame(group, "a long, b long, label long, linked boolean, n_a long, n_b long, apart array<long>")
+    made, written = [], jaccard.written
+
+    def counted(df, *given):
+        out = written(df, *given)
+        if "e" in df.columns and "place" not in df.columns:
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "written", counted)
+    assert rows(jaccard._by_differences(spokes, 80)) == []
+    assert len(made) == 1 and made[0] <= 76 * len(group)
+
+
+@pytest.mark.parametrize("told_by", [8, 64, 1000])
+def test_differences_find_all_links_in_any_order(spark, monkeypatch, told_by):
+    rng = random.Random(told_by)
+    monkeypatch.setattr(jaccard, "ORDER_SPOKES", told_by, raising=False)
+    group, want = [], set()
+    for lead in (1, 2):
+        base = [rng.getrandbits(62) for _ in range(320)]
+        families = [(set(rng.sample(base, rng.randint(0, 120))), {rng.getrandbits(62) for _ in range(rng.randint(0, 90))}) for _ in range(9)]
+        members = []
+        for i in range(130):
+            lost, more = families[min(rng.randrange(12), 8)]
+            own = set(base) - lost - set(rng.sample(base, rng.randint(0, 20))) | more | {rng.getrandbits(62) for _ in range(rng.randint(0, 25))}
+            own -= set(rng.sample(sorted(own), rng.randint(0, 15)))
+            both = len(own & set(base))
+            linked = 100 * both >= 80 * (len(own) + len(base) - both)
+            members.append((1_000 * lead + i, lead if linked else 1_000 * lead + i, own))
+            group.append((lead, members[-1][0], members[-1][1], linked, len(base), len(own), sorted(own ^ set(base))))
+        want |= {frozenset((x, y)) for (x, lx, sx), (y, ly, sy) in itertools.combinations(members, 2) if lx != ly and 100 * len(sx & sy) >= 80 * len(sx | sy)}
+    spokes = spark.createDataFrame(group, "a long, b long, label long, linked boolean, n_a long, n_b long, apart array<long>")
+    got = {frozenset((r["a"], r["b"])) for r in rows(jaccard._by_differences(spokes, 80))}
+    assert len(want) > 100 and want <= got
+
+
 @pytest.mark.parametrize("sizes", [(40, 60), (200, 330), (900, 1400)])
 def test_sure_agreements_hold_for_the_farthest_partners(sizes):
     rng = np.random.default_rng(12)
