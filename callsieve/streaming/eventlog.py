@@ -13,17 +13,19 @@ import time
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from ..operators.live import MIN_CALLS, WRITE_STEP, event_counters, state_features
 from .blacklist import COUNTERS
-from .ordered import InOrder, dated, in_order
+from .ordered import Held, dated, in_order, ordered, sliced
 from .store import BlacklistStore
 
 #: Larger sketches are more exact: with 200 a quantile's rank is off by about 1.3 % at most (99 % confidence).
 SKETCH_K = 200
+#: Numbers share a state by their hash, since a state costs several calls to Spark in each batch, however few rows it holds. Fixed for a checkpoint's life.
+BUCKETS = 512
 TRACE = ("phone_number string, event_id string, ts_us long, " + ", ".join(f"{c} long" for c in COUNTERS)
          + ", countries long, produced_at double, arrived_at double")
 LISTED = ("phone_number string, event_id string, ts_us long, total_calls long, probability double, written boolean, produced_at double,"
@@ -31,66 +33,136 @@ LISTED = ("phone_number string, event_id string, ts_us long, total_calls long, p
 columns_of = lambda schema: [c.split()[0] for c in schema.split(", ")]
 
 
-class OrderedCounters(InOrder):
-    """A number's counters after each of its events. A forgotten number sends one row with total_calls 0 behind its last event."""
+def bucket() -> Column:
+    return F.pmod(F.xxhash64("phone_number"), F.lit(BUCKETS)).cast("int")
+
+
+def starts_of(numbers: pd.Series) -> np.ndarray:
+    """True at the first row of each number of a sorted column."""
+    codes = pd.factorize(numbers)[0]
+    return np.concatenate([[True], codes[1:] != codes[:-1]])
+
+
+class OrderedCounters(Held):
+    """The counters of each number of a bucket after each of its events. A forgotten number sends one row with total_calls 0 behind its last event.
+
+    With ``idle_s``, a number whose next event comes more than so many seconds of event time later starts anew, and its state is dropped when the watermark
+    is past that time, an eighth of it later at most.
+    """
+
+    unique = ["phone_number", "event_id"]
+    order = ["phone_number", "ts_us", "event_id"]
 
     def open_state(self, handle: StatefulProcessorHandle) -> None:
-        self.counts = handle.getValueState("counters", ", ".join(f"{c} long" for c in COUNTERS))
-        self.countries = handle.getMapState("countries", "country string", "n long")
-
-    def fold(self, key, rows: pd.DataFrame) -> pd.DataFrame:
-        known = np.array(self.counts.get() if self.counts.exists() else [0] * len(COUNTERS), dtype=np.int64)
-        after = known + rows[COUNTERS].to_numpy(dtype=np.int64).cumsum(axis=0)
-        self.counts.update(tuple(int(x) for x in after[-1]))
-        seen = {k[0] for k in self.countries.keys()}
-        first = ~rows["country"].duplicated() & ~rows["country"].isin(seen)
-        for country in rows.loc[first, "country"]:
-            self.countries.updateValue((country,), (1,))
+        self.numbers = handle.getMapState("numbers", "phone_number string", ", ".join(f"{c} long" for c in COUNTERS) + ", countries array<string>, newest_us long")
+
+    def released(self, key, rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        times, phones, countries = rows["ts_us"].to_numpy(), rows["phone_number"].to_numpy(), rows["country"].to_numpy()
+        apart = None if self.idle_s is None else int(self.idle_s * 1e6)
+        own = starts_of(rows["phone_number"])
+        cut = own.copy()
+        if apart is not None:
+            cut[1:] |= np.diff(times) > apart
+        starts, run = np.flatnonzero(cut), cut.cumsum() - 1
+        base, seen, gone = np.zeros((len(starts), len(COUNTERS)), dtype=np.int64), [frozenset()] * len(starts), []
+        for i, low in enumerate(starts):
+            if not own[low]:
+                gone.append((phones[low], int(times[low - 1])))
+            elif (known := self.numbers.getValue((phones[low],))) is not None:
+                *counts, held, newest = known
+                if apart is not None and times[low] - newest > apart:
+                    gone.append((phones[low], newest))
+                else:
+                    base[i], seen[i] = counts, frozenset(held)
+        first = ~pd.DataFrame({"run": run, "country": countries}).duplicated().to_numpy()
+        added: list[list] = [[] for _ in starts]
+        for i in np.flatnonzero(first):
+            if countries[i] in seen[run[i]]:
+                first[i] = False
+            else:
+                added[run[i]].append(countries[i])
+        # Running sums over all numbers, less those at the start of the run.
+        total, places = rows[COUNTERS].to_numpy(dtype=np.int64).cumsum(axis=0), first.cumsum()
+        before = lambda sums: np.concatenate([sums[:1] * 0, sums[starts[1:] - 1]])
+        after = total + (base - before(total))[run]
+        met = places + (np.array([len(x) for x in seen]) - before(places))[run]
+        ends = np.append(starts[1:], len(rows)) - 1
+        for i, end in enumerate(ends):
+            if end + 1 == len(rows) or own[end + 1]:
+                self.numbers.updateValue((phones[end],), (*after[end].tolist(), sorted({*seen[i], *added[i]}), int(times[end])))
+        if apart is not None:
+            self._wake(int(times.max()) + apart)
+        yield from self.forgotten(gone)
         out = pd.DataFrame(after, columns=COUNTERS).assign(
-            phone_number=key[0], event_id=rows["event_id"], ts_us=rows["ts_us"], countries=len(seen) + first.to_numpy().cumsum(),
-            produced_at=rows["produced_at"], arrived_at=rows["arrived_at"])
-        return out[columns_of(TRACE)]
-
-    def forget(self, key, newest_us: int) -> pd.DataFrame:
-        self.counts.clear()
-        self.countries.clear()
-        return pd.DataFrame([[key[0], None, newest_us + 1, *[0] * len(COUNTERS), 0, 0.0, 0.0]], columns=columns_of(TRACE))
+            phone_number=phones, event_id=rows["event_id"], ts_us=times, countries=met, produced_at=rows["produced_at"], arrived_at=rows["arrived_at"])
+        yield from sliced(out[columns_of(TRACE)])
+
+    def _wake(self, at_us: int) -> None:
+        """Set a timer, at one of eight times of an idle period, to look for numbers that are idle since."""
+        self.handle.registerTimer((at_us // 1000 // self._step() + 1) * self._step())
+
+    def _step(self) -> int:
+        return max(1, int(self.idle_s * 1000) // 8)
+
+    def idle(self, key, until: int, timer_ms: int) -> Iterator[pd.DataFrame]:
+        if timer_ms % self._step():
+            return
+        gone = [(phone, state[-1]) for (phone,), state in self.numbers.iterator() if state[-1] + self.idle_s * 1e6 < until]
+        for phone, _ in gone:
+            self.numbers.removeKey((phone,))
+        yield from self.forgotten(gone)
+
+    def forgotten(self, gone: list[tuple[str, int]]) -> Iterator[pd.DataFrame]:
+        if gone:
+            yield pd.DataFrame([[phone, None, newest + 1, *[0] * len(COUNTERS), 0, 0.0, 0.0] for phone, newest in gone], columns=columns_of(TRACE))
+
+
+def moves(p: np.ndarray, last: float, step: float) -> list[int]:
+    """Places of ``p`` more than ``step`` from the value at the place before; the first is held against ``last``, NaN if there is none."""
+    found, at, width = [], 0, 64
+    while at < len(p):
+        # Looks farther and farther ahead, so that the work grows with the rows and the places alone.
+        far = np.flatnonzero(~(np.abs(p[at:at + width] - last) <= step))
+        if len(far):
+            at += int(far[0])
+            found.append(at)
+            last, at, width = p[at], at + 1, 64
+        else:
+            at, width = at + width, 2 * width
+    return found
 
 
 class WrittenMarks(StatefulProcessor):
-    """Every event, with ``written`` where it enters the blacklist: probable, seen often enough, and moved since the last entry."""
+    """Every event of a bucket, with ``written`` where it enters the blacklist: probable, seen often enough, and moved since its number's last entry."""
 
     def __init__(self, threshold: float, min_calls: int, step: float):
         self.threshold, self.min_calls, self.step = threshold, min_calls, step
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "probability double")
+        self.last = handle.getMapState("last", "phone_number string", "probability double")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        held = pd.concat(list(rows), ignore_index=True).sort_values(["ts_us", "event_id"], ignore_index=True)
-        last = self.last.get()[0] if self.last.exists() else np.nan
-        p, calls = held["probability"].to_numpy(dtype=float), held["total_calls"].to_numpy()
-        written = np.zeros(len(held), dtype=bool)
-        ends = [*np.flatnonzero(calls == 0).tolist(), len(held)]
-        for low, high in zip([0, *ends], ends):
-            if low < len(held) and calls[low] == 0:  # forgotten: what follows is listed anew
-                last = np.nan
-            may = low + np.flatnonzero((p[low:high] >= self.threshold) & (calls[low:high] >= self.min_calls))
-            at = 0
-            while at < len(may):
-                # The next event that has moved far enough; all before it are passed over at once.
-                moved = np.flatnonzero(~(np.abs(p[may[at:]] - last) <= self.step))
-                if not len(moved):
-                    break
-                at += int(moved[0])
-                written[may[at]], last = True, p[may[at]]
-                at += 1
-        if np.isnan(last):
-            self.last.clear()
-        else:
-            self.last.update((float(last),))
-        held, written = held[calls > 0], written[calls > 0]
-        yield held.assign(phone_number=key[0], written=written, done_at=time.time())[columns_of(LISTED)]
+        held = ordered(pd.concat(list(rows), ignore_index=True), ["phone_number", "ts_us", "event_id"])
+        p, calls, phones = held["probability"].to_numpy(dtype=float), held["total_calls"].to_numpy(), held["phone_number"].to_numpy()
+        may, gone, written = (p >= self.threshold) & (calls >= self.min_calls), calls == 0, np.zeros(len(held), dtype=bool)
+        starts = np.flatnonzero(starts_of(held["phone_number"]))
+        ends = np.append(starts[1:], len(held))
+        for i in np.flatnonzero(np.logical_or.reduceat(may | gone, starts)):  # the others leave their number's state alone
+            low, high = starts[i], ends[i]
+            known = self.last.getValue((phones[low],))
+            last = before = np.nan if known is None else known[0]
+            cuts = [low, *(low + np.flatnonzero(gone[low:high])).tolist(), high]
+            for n, (left, right) in enumerate(zip(cuts, cuts[1:])):
+                if n:  # forgotten: what follows is listed anew
+                    last = np.nan
+                places = left + np.flatnonzero(may[left:right])
+                if new := moves(p[places], last, self.step):
+                    written[places[new]], last = True, float(p[places[new[-1]]])
+            if not np.isnan(last) and last != before:
+                self.last.updateValue((phones[low],), (last,))
+            elif np.isnan(last) and known is not None:
+                self.last.removeKey((phones[low],))
+        yield from sliced(held[~gone].assign(written=written[~gone], done_at=time.time())[columns_of(LISTED)])
 
     def close(self) -> None:
         pass
@@ -105,7 +177,7 @@ def event_trace(events: DataFrame, delay: str = "10 minutes", idle_s: float | No
     flags = events.filter("event_id is not null and phone_number is not null").select(
         "phone_number", "event_id", "ts", F.coalesce("caller_country", F.lit("")).alias("country"), F.coalesce("produced_at", F.lit(0.0)).alias("produced_at"),
         (F.unix_micros(F.current_timestamp()) / 1_000_000).alias("arrived_at"), *[c.alias(n) for n, c in event_counters().items()])
-    return in_order(dated(flags, delay), "phone_number", OrderedCounters(idle_s), TRACE)
+    return in_order(dated(flags.withColumn("bucket", bucket()), delay), "bucket", OrderedCounters(idle_s), TRACE)
 
 
 def event_log(events: DataFrame, add_score: Callable[[DataFrame], DataFrame], threshold: float, min_calls: int = MIN_CALLS,
@@ -115,7 +187,7 @@ def event_log(events: DataFrame, add_score: Callable[[DataFrame], DataFrame], th
         "phone_number", "event_id", "ts_us", "total_calls", "produced_at", "arrived_at", *[c.alias(n) for n, c in state_features().items()])
     scored = add_score(trace).select("phone_number", "event_id", "ts_us", "total_calls", F.round("probability", 4).alias("probability"),
                                      "produced_at", "arrived_at")
-    return scored.groupBy("phone_number").transformWithStateInPandas(
+    return scored.withColumn("bucket", bucket()).groupBy("bucket").transformWithStateInPandas(
         statefulProcessor=WrittenMarks(threshold, min_calls, step), outputStructType=LISTED, outputMode="Append", timeMode="None")
 
 

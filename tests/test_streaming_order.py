@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import datetime
 import random
+from types import SimpleNamespace
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -187,3 +190,56 @@ def test_streamed_decisions_equal_the_batch(spark, tmp_path, shuffled):
     got, want = spark.read.parquet(str(tmp_path / "out")), reputation.report_decisions(reports, validations, reporters)
     assert tidy(got) == tidy(want)
     assert got.filter("status = 'error'").count() > 0
+
+
+class MapState:
+    def __init__(self):
+        self.held, self.calls = {}, 0
+
+    def getValue(self, key):
+        self.calls += 1
+        return self.held.get(key)
+
+    def updateValue(self, key, value):
+        self.calls += 1
+        self.held[key] = value
+
+
+def test_numbers_of_a_bucket_keep_apart_with_two_calls_each():
+    """Each number has its own counters, whatever shares its state; a number's events and countries cost no call of their own."""
+    counters = eventlog.OrderedCounters()
+    counters.numbers = MapState()
+    rows = [(phone, f"e{i:03d}", i, country) for phone in ("a", "b", "c") for i, country in enumerate(["TW", "US", "TW", "MM", ""])]
+    frame = pd.DataFrame(rows, columns=["phone_number", "event_id", "ts_us", "country"]).assign(produced_at=0.0, arrived_at=0.0, **{c: 1 for c in eventlog.COUNTERS})
+    for turn in range(2):
+        out = pd.concat(counters.released((0,), frame))
+        assert out["total_calls"].tolist() == [*range(1 + 5 * turn, 6 + 5 * turn)] * 3
+        assert out["countries"].tolist() == ([1, 2, 2, 3, 4] if not turn else [4] * 5) * 3
+        assert out["phone_number"].tolist() == frame["phone_number"].tolist()
+    assert counters.numbers.calls == 2 * 2 * 3
+
+
+def test_rows_that_wait_are_put_beside_those_that_wait_already():
+    """What waits is not read again when rows come in, and one timer is set for them."""
+    from callsieve.streaming.ordered import Held
+
+    held, timers, part = Held(), [], MapState()
+    held.pending, held.handle, held.done = part, SimpleNamespace(registerTimer=timers.append), {}
+    count = {}
+    held.parts = SimpleNamespace(exists=lambda: bool(count), get=lambda: (count["n"],), update=lambda v: count.update(n=v[0]))
+    for turn in range(3):
+        held.handleInputRows((0,), iter([pd.DataFrame({"ts_us": [5000 + turn, 9000]}), pd.DataFrame({"ts_us": [3000]})]), None)
+    assert sorted(k for k, in part.held) == [0, 1, 2, 3, 4, 5] and part.calls == 6 and timers == [3, 3, 3]
+
+
+def test_moves_are_those_of_a_row_by_row_walk():
+    rng = random.Random(4)
+    for n, spread in ((0, 1.0), (1, 1.0), (500, 0.02), (500, 1.0), (3000, 0.012)):
+        p = [0.5 + spread * rng.random() for _ in range(n)]
+        for start in (float("nan"), 0.5):
+            want, last = [], start
+            for i, x in enumerate(p):
+                if not abs(x - last) <= 0.01:
+                    want.append(i)
+                    last = x
+            assert eventlog.moves(np.array(p), start, 0.01) == want
