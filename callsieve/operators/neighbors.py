@@ -2,9 +2,11 @@
 
 Points go to the nearest of a fixed number of pivots. The farthest a neighbour can be follows from the
 pivots' counts and radii, so a point is only compared with the cells it could matter to (triangle
-inequality). A crowded cell is cut into blocks; every pair of blocks keeps its k best candidates per point
-and the blocks' lists are merged, so no task sees a whole cell. Of equal vectors only k + 1 take part in the
-search; the other copies have those as neighbours at distance 0.
+inequality). Adjacent small cells are searched as one group, so that a point which matters to most cells is
+not copied for each of them. Groups are cut into blocks; every pair of blocks keeps its k best candidates per
+point and the blocks' lists are merged, so no task sees a whole crowded cell. Workers hold a bounded number of
+distances at a time. Of equal vectors only k + 1 take part in the search; the other copies have those as
+neighbours at distance 0.
 """
 
 from __future__ import annotations
@@ -23,6 +25,40 @@ def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum((a ** 2).sum(1)[:, None] + (b ** 2).sum(1)[None, :] - 2 * a @ b.T, 0.0))
 
 
+#: Distances that a worker holds at once.
+HELD_DISTANCES = 2_000_000
+
+
+def slices(rows: int, width: int) -> list[slice]:
+    """``rows`` cut so that a slice has ``HELD_DISTANCES`` distances to ``width`` points, and one row at least."""
+    step = max(1, HELD_DISTANCES // max(width, 1))
+    return [slice(low, low + step) for low in range(0, rows, step)]
+
+
+def cell_groups(centers: np.ndarray, counts: np.ndarray, rows: int) -> list[np.ndarray]:
+    """Occupied cells, halved at the median of the widest dimension until a group has ``rows`` points or is one cell."""
+    todo, done = [np.flatnonzero(counts)], []
+    while todo:
+        cells = todo.pop()
+        if len(cells) < 2 or counts[cells].sum() <= rows:
+            done.append(cells)
+            continue
+        held = centers[cells]
+        cells = cells[np.argsort(held[:, (held.max(0) - held.min(0)).argmax()], kind="stable")]
+        todo += [cells[:len(cells) // 2], cells[len(cells) // 2:]]
+    return done
+
+
+def k_smallest(d: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column of the ``k`` smallest finite values of each row, of equal ones the first."""
+    k = min(k, d.shape[1])
+    row, column = np.nonzero((d <= np.partition(d, k - 1, 1)[:, k - 1:k]) & np.isfinite(d))
+    order = np.lexsort((column, d[row, column], row))
+    row, column = row[order], column[order]
+    place = np.arange(len(row)) - np.searchsorted(row, row)
+    return row[place < k], column[place < k]
+
+
 def reach_per_cell(gaps: np.ndarray, counts: np.ndarray, radii: np.ndarray, k: int) -> np.ndarray:
     """Upper bound on the distance from any point of a cell to its k-th neighbour."""
     reach = np.full(len(counts), np.inf)
@@ -35,7 +71,7 @@ def reach_per_cell(gaps: np.ndarray, counts: np.ndarray, radii: np.ndarray, k: i
     return reach
 
 
-def nearest(df: DataFrame, id_col: str, vector: str, k: int = 5, pivots: int | None = None, block_rows: int = 2000) -> DataFrame:
+def nearest(df: DataFrame, id_col: str, vector: str, k: int = 5, pivots: int | None = None, block_rows: int = 16_000) -> DataFrame:
     """The ``k`` nearest other points of every point: id, neighbour, distance, rank from 1.
 
     By default there are about as many pivots as the square root of the points, at most 4096.
@@ -60,8 +96,9 @@ def search(points: DataFrame, k: int, pivots: int | None, block_rows: int) -> Da
 
     def assign(batches):
         for pdf in batches:
-            d = distances(np.stack(pdf["v"].to_numpy()), centers)
-            yield pdf.assign(cell=d.argmin(1), d=d.min(1))
+            for part in slices(len(pdf), len(centers)):
+                d = distances(np.stack(pdf["v"].iloc[part].to_numpy()), centers)
+                yield pdf.iloc[part].assign(cell=d.argmin(1), d=d.min(1))
 
     id_type = dict(points.dtypes)["id"]
     placed = cut_lineage(points.mapInPandas(assign, f"id {id_type}, v array<double>, cell long, d double"))
@@ -70,37 +107,56 @@ def search(points: DataFrame, k: int, pivots: int | None, block_rows: int) -> Da
     for r in facts:
         counts[r["cell"]], radii[r["cell"]] = r["n"], r["radius"]
     reach = reach_per_cell(distances(centers, centers), counts, radii, k)
+    groups = cell_groups(centers, counts, block_rows)
+    ordered, firsts = np.concatenate(groups), np.cumsum([0, *map(len, groups)])[:-1]
+    group_of = np.zeros(len(centers), dtype=np.int64)
+    for i, cells in enumerate(groups):
+        group_of[cells] = i
+
+    def wanted(pdf):
+        """Slices of the points, each with the places of its points that matter to a group, and the groups."""
+        for part in slices(len(pdf), len(centers)):
+            d = distances(np.stack(pdf["v"].iloc[part].to_numpy()), centers)[:, ordered]
+            near = d - radii[None, ordered] <= reach[None, ordered] * (1 + 1e-9) + 1e-9
+            yield pdf.iloc[part], *np.nonzero(np.logical_or.reduceat(near, firsts, 1))
+
+    def count(batches):
+        for pdf in batches:
+            n = sum(np.bincount(group, minlength=len(groups)) for _, _, group in wanted(pdf))
+            yield pd.DataFrame({"cell": np.arange(len(groups)), "n": n})
 
     def route(batches):
         for pdf in batches:
-            d = distances(np.stack(pdf["v"].to_numpy()), centers)
-            wanted = (d - radii[None, :] <= reach[None, :] * (1 + 1e-9) + 1e-9) & (counts > 0)[None, :]
-            row, cell = np.nonzero(wanted)
-            yield pd.DataFrame({"id": pdf["id"].to_numpy()[row], "v": pdf["v"].to_numpy()[row], "cell": cell})
-
-    candidates = cut_lineage(placed.select("id", "v").mapInPandas(route, f"id {id_type}, v array<double>, cell long"))
-
-    def blocked(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
-        blocks = rows.groupBy("cell").agg(F.ceil(F.count("*") / block_rows).alias(f"{name}s"))
-        return rows.join(blocks, "cell").withColumn(name, F.pmod(F.xxhash64("id"), F.col(f"{name}s"))), blocks
-
-    asking, ask_blocks = blocked(placed.select("id", "v", "cell"), "qb")
-    answering, answer_blocks = blocked(candidates, "cb")
-    asks = asking.join(answer_blocks, "cell").select(
-        "cell", "qb", F.explode(F.sequence(F.lit(0), F.col("cbs") - 1)).alias("cb"), "id", "v", F.lit(True).alias("asks"))
-    answers = answering.join(ask_blocks, "cell").select(
-        "cell", F.explode(F.sequence(F.lit(0), F.col("qbs") - 1)).alias("qb"), "cb", "id", "v", F.lit(False).alias("asks"))
+            for part, row, group in wanted(pdf):
+                for cut in slices(len(row), part["v"].iloc[0].size):
+                    yield pd.DataFrame({"id": part["id"].to_numpy()[row[cut]], "v": part["v"].to_numpy()[row[cut]], "cell": group[cut]})
+
+    # The answers are too many to be written: they are counted first, without their vectors.
+    asked = [int(counts[cells].sum()) for cells in groups]
+    answered = {r["cell"]: r["n"] for r in placed.select("v").mapInPandas(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect()}
+    blocks = F.broadcast(points.sparkSession.createDataFrame(
+        [(i, -(-n // block_rows), -(-answered[i] // block_rows)) for i, n in enumerate(asked)], "cell long, qbs long, cbs long"))
+    group = F.element_at(F.lit(group_of.tolist()).cast("array<long>"), F.col("cell").cast("int") + 1)
+    in_block = lambda n: F.pmod(F.xxhash64("id"), F.col(n))
+    each_block = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    asks = placed.select("id", "v", group.alias("cell")).join(blocks, "cell").select(
+        "cell", in_block("qbs").alias("qb"), each_block("cbs").alias("cb"), "id", "v", F.lit(True).alias("asks"))
+    answers = placed.select("id", "v").mapInPandas(route, f"id {id_type}, v array<double>, cell long").join(blocks, "cell").select(
+        "cell", each_block("qbs").alias("qb"), in_block("cbs").alias("cb"), "id", "v", F.lit(False).alias("asks"))
 
     def best(pdf: pd.DataFrame) -> pd.DataFrame:
         q, c = pdf[pdf["asks"]].sort_values("id"), pdf[~pdf["asks"]].sort_values("id")
         if q.empty or c.empty:
             return pd.DataFrame({"id": [], "neighbor": [], "distance": []})
-        d = distances(np.stack(q["v"].to_numpy()), np.stack(c["v"].to_numpy()))
-        d[q["id"].to_numpy()[:, None] == c["id"].to_numpy()[None, :]] = np.inf
-        top = np.argsort(d, 1, kind="stable")[:, :k]
-        found = pd.DataFrame({"id": np.repeat(q["id"].to_numpy(), top.shape[1]), "neighbor": c["id"].to_numpy()[top.ravel()],
-                              "distance": np.take_along_axis(d, top, 1).ravel()})
-        return found[np.isfinite(found["distance"])]
+        codes = pd.factorize(np.concatenate([q["id"].to_numpy(), c["id"].to_numpy()]))[0]
+        own, other, found = codes[:len(q)], codes[len(q):], []
+        points, held = np.stack(q["v"].to_numpy()), np.stack(c["v"].to_numpy())
+        for part in slices(len(q), len(c)):
+            d = distances(points[part], held)
+            d[own[part][:, None] == other[None, :]] = np.inf
+            row, column = k_smallest(d, k)
+            found.append(pd.DataFrame({"id": q["id"].to_numpy()[part][row], "neighbor": c["id"].to_numpy()[column], "distance": d[row, column]}))
+        return pd.concat(found)
 
     lists = asks.unionByName(answers).groupBy("cell", "qb", "cb").applyInPandas(
         best, f"id {id_type}, neighbor {id_type}, distance double")

@@ -112,3 +112,23 @@ def test_oversampling_balances_between_neighbours(spark):
         assert min(on_line) < 1e-6
     again = neighbors.smote(df.repartition(3), "id", "v", "label", k=3, pivots=4)
     assert sorted(map(str, got.collect())) == sorted(map(str, again.collect()))
+
+
+def test_a_worker_holds_a_bounded_number_of_distances():
+    """Slices, groups of cells and the choice of the nearest against plain forms."""
+    for rows, width in ((10_000, 4096), (16_000, 16_000), (3, 10 ** 9), (0, 5)):
+        parts = neighbors.slices(rows, width)
+        assert [i for p in parts for i in range(rows)[p]] == list(range(rows))
+        assert all(len(range(rows)[p]) * width <= max(neighbors.HELD_DISTANCES, width) for p in parts)
+    random = np.random.default_rng(5)
+    centers, counts = random.normal(size=(300, 8)), random.integers(0, 40, 300).astype(float)
+    groups = neighbors.cell_groups(centers, counts, 500)
+    assert sorted(np.concatenate(groups)) == list(np.flatnonzero(counts))
+    # Far fewer groups than cells: a point that matters to all cells is copied once for each group.
+    assert all(len(g) == 1 or counts[g].sum() <= 500 for g in groups) and len(groups) < counts.sum() / 500 * 3
+    d = random.integers(0, 6, (50, 30)).astype(float)
+    d[0, 3:] = d[1] = np.inf
+    for k in (1, 5, 40):
+        row, column = neighbors.k_smallest(d, k)
+        want = [(i, j) for i in range(50) for j in np.argsort(d[i], kind="stable")[:k] if np.isfinite(d[i, j])]
+        assert list(zip(row, column)) == want
